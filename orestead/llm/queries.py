@@ -8,7 +8,16 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .minhash import near_duplicates
 from .mixing import mix_sources
+from .packing import pack_documents
 from .shard import kd_shards
+from .substring import remove_repeats_digest
+
+
+def tokenizer_file() -> str:
+    """The public tokenizer's file; it is read in place and never copied."""
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -19,10 +28,18 @@ def op1_kd_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kd_shards(_read(spark, sf_dir, "documents"), shards=40)
 
 
+def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(_read(spark, sf_dir, "documents"), tokenizer_file(), capacity=4096, end_id=1)
+
+
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(_read(spark, sf_dir, "documents"), weights=(5, 2, 1), share=1.5, most=2.0).drop("times")
 
 
+def op7_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats_digest(_read(spark, sf_dir, "documents"), window=35)
+
+
 def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_read(spark, sf_dir, "documents"), k=3, percent=85)
 
