@@ -5,7 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from .fingerprint import fingerprint_neighbours
+from .language import held_out, identify, learn
 from .minhash import near_duplicates
 from .mixing import mix_sources
 from .packing import pack_documents
@@ -32,6 +35,10 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(_read(spark, sf_dir, "documents"), tokenizer_file(), capacity=4096, end_id=1)
 
 
+def op4_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint_neighbours(_read(spark, sf_dir, "documents"))
+
+
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(_read(spark, sf_dir, "documents"), weights=(5, 2, 1), share=1.5, most=2.0).drop("times")
 
@@ -40,6 +47,12 @@ def op7_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats_digest(_read(spark, sf_dir, "documents"), window=35)
 
 
+def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _read(spark, sf_dir, "documents")
+    found = identify(docs, learn(docs))
+    return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
 def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_read(spark, sf_dir, "documents"), k=3, percent=85)
 
