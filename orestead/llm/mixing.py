@@ -85,29 +85,41 @@ def _thresholds(sizes: DataFrame, targets: DataFrame) -> DataFrame:
     return state
 
 
-def mix_sources(
-    docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), share: float = 1.5, most: float = 2.0, seed: int = 0, keep: tuple[str, ...] = ()
-) -> DataFrame:
-    """Takes documents of each source until the source's target size in words is met.
+def _hash(seed: int) -> Column:
+    """HASH_BITS bits from the id and the text."""
+    return F.shiftrightunsigned(F.xxhash64(F.lit(seed), "doc_id", F.xxhash64("text")), 64 - HASH_BITS)
 
-    Returns doc_id, size (words), source_size, target (its source's), taken (words, repeats counted: the size times
-    0, 1, ... up to `most` rounded up) and times; `keep` names further columns of docs to carry along.
+
+def _sized(docs: DataFrame, seed: int) -> DataFrame:
+    return materialize(docs.select("doc_id", "source", word_count(F.col("text")).alias("size"), _hash(seed).alias("h")), "mix-sizes")
+
+
+def _cuts(sizes: DataFrame, weights: tuple[float, ...], share: float, most: float) -> DataFrame:
+    targets = source_targets(sizes.select("source", "size"), weights, share, most)
+    cuts = materialize(_thresholds(sizes.select("source", "size", "h"), targets), "mix-cuts")
+    return cuts.select(F.col("source").alias("s"), "source_size", "target", "times", "low")
+
+
+def mix_sources(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), share: float = 1.5, most: float = 2.0, seed: int = 0) -> DataFrame:
+    """How often each document is taken so that its source's target size in words is met.
+
+    Returns doc_id, size (words), source_size, target (its source's), taken (words, repeats counted) and times.
 
     Every document of a source is taken target // source_size times, and once more if its hash is under the
     threshold. The hash is of doc_id, text and seed, so reruns agree, and rows equal in both stand or fall together.
     Null text has size 0, null is a source of its own (the last), an empty table gives no rows, and a source without
-    words has target 0. Columns of docs named like results are replaced unless kept under their own name.
+    words has target 0. Other columns of docs are ignored.
     """
-    h = F.shiftrightunsigned(F.xxhash64(F.lit(seed), "doc_id", F.coalesce(F.length("text"), F.lit(0)), F.xxhash64("text")), 64 - HASH_BITS)
-    base = docs.select("doc_id", *[c for c in keep if c != "doc_id"], "source" if "source" not in keep else F.col("source").alias("_s"), word_count(F.col("text")).alias("size"), h.alias("h"))
-    if "source" in keep:
-        base = base.withColumnRenamed("source", "_kept").withColumnRenamed("_s", "source")
-    sizes = materialize(base, "mix-sizes")
-    state = materialize(_thresholds(sizes.select("source", "size", "h"), source_targets(sizes.select("source", "size"), weights, share, most)), "mix-cuts")
-    state = state.select(F.col("source").alias("s"), "source_size", "target", "times", "low")
+    sizes = _sized(docs, seed)
+    cuts = _cuts(sizes, weights, share, most)
     times = F.col("times") + (F.col("h") < F.col("low")).cast("long")
-    out = sizes.join(state, F.col("source").eqNullSafe(F.col("s")))
-    return out.select(
-        "doc_id", *[F.col("_kept").alias("source") if c == "source" else F.col(c) for c in keep if c != "doc_id"],
-        "size", "source_size", F.col("target").cast("double").alias("target"), (F.col("size") * times).alias("taken"), times.alias("times"),
-    )
+    out = sizes.join(cuts, F.col("source").eqNullSafe(F.col("s")))
+    return out.select("doc_id", "size", "source_size", F.col("target").cast("double").alias("target"), (F.col("size") * times).alias("taken"), times.alias("times"))
+
+
+def mixed_documents(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), share: float = 1.5, most: float = 2.0, seed: int = 0) -> DataFrame:
+    """docs with each row as often as mix_sources takes it. Texts aren't shuffled: the cuts, a row per source, are joined to them."""
+    cuts = _cuts(_sized(docs, seed), weights, share, most).select("s", "times", "low")
+    times = (F.col("_t") + (F.col("_h") < F.col("_low")).cast("long")).cast("int")
+    marked = docs.withColumn("_h", _hash(seed)).join(cuts.select(F.col("s").alias("_s"), F.col("times").alias("_t"), F.col("low").alias("_low")), F.col("source").eqNullSafe(F.col("_s")))
+    return marked.where(times > 0).withColumn("_copy", F.explode(F.sequence(F.lit(1), times))).select(*docs.columns)

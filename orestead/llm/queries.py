@@ -7,13 +7,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .chat import fit as fit_chat
+from .chat import recover_roles, training_turns
 from .fingerprint import fingerprint_neighbours
+from .hnsw import nearest
 from .language import held_out, identify, learn
 from .minhash import near_duplicates
 from .mixing import mix_sources
 from .packing import pack_documents
 from .shard import kd_shards
 from .substring import remove_repeats_digest
+from .urls import judge
+
+URL_RULES = [("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"), ("allow", "com/fr/"), ("block", "com/de/")]
 
 
 def tokenizer_file() -> str:
@@ -35,6 +41,11 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(_read(spark, sf_dir, "documents"), tokenizer_file(), capacity=4096, end_id=1)
 
 
+def op3_hnsw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _read(spark, sf_dir, "embeddings").select("vec_id", F.col("embedding").alias("vector"))
+    return nearest(rows, rows.where(F.col("vec_id") % 20 == 0), k=20)
+
+
 def op4_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint_neighbours(_read(spark, sf_dir, "documents"))
 
@@ -43,10 +54,19 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(_read(spark, sf_dir, "documents"), weights=(5, 2, 1), share=1.5, most=2.0).drop("times")
 
 
+def op6_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = _read(spark, sf_dir, "conversations")
+    return recover_roles(turns, fit_chat(training_turns(turns)))
+
+
 def op7_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats_digest(_read(spark, sf_dir, "documents"), window=35)
 
 
+def op8_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judge(_read(spark, sf_dir, "pages"), URL_RULES)
+
+
 def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _read(spark, sf_dir, "documents")
     found = identify(docs, learn(docs))
