@@ -126,20 +126,26 @@ def _prefix_pairs(rows: DataFrame, k: int, percent: int) -> DataFrame:
     def prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         frequency = shared.value
         for batch in batches:
-            out: list[list[np.ndarray]] = [[] for _ in range(5)]
+            out: list[list[np.ndarray]] = [[] for _ in range(6)]
             for rep, component, text in zip(*[batch.column(c).to_pylist() for c in ("rep", "component", "text")], strict=True):
                 u = shingle_set(text, k)
                 n = len(u)
                 u = u[np.lexsort((u, frequency[(u % np.uint64(SKETCH)).astype(np.int64)]))][: n - -(-percent * n // 100) + 1]
-                for column, v in zip(out, (u.view(np.int64), np.full(len(u), rep), np.full(len(u), component), np.full(len(u), n), np.arange(len(u))), strict=True):
+                token = u.view(np.int64)
+                before = np.concatenate([token[:1], token[:-1]])
+                for column, v in zip(out, (token, before, np.full(len(u), rep), np.full(len(u), component), np.full(len(u), n), np.arange(len(u))), strict=True):
                     column.append(v)
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c) if c else np.zeros(0, np.int64)) for c in out], names=["token", "rep", "component", "n", "at"])
+            flat = [np.concatenate(c) if c else np.zeros(0, np.int64) for c in out]
+            columns = [pa.array(flat[0]), pa.array(flat[1], mask=flat[5] == 0), *(pa.array(c) for c in flat[2:])]
+            yield pa.RecordBatch.from_arrays(columns, names=["token", "before", "rep", "component", "n", "at"])
 
-    tokens = materialize(in_arrow(rows.select("rep", "component", "text"), prefixes, "token long, rep long, component long, n long, at long"), "mh-prefix")
-    x, y = (tokens.select("token", *[F.col(c).alias(f"{c}_{side}") for c in ("rep", "component", "n", "at")]) for side in "xy")
+    tokens = materialize(in_arrow(rows.select("rep", "component", "text"), prefixes, "token long, before long, rep long, component long, n long, at long"), "mh-prefix")
+    x, y = (tokens.select("token", *[F.col(c).alias(f"{c}_{side}") for c in ("before", "rep", "component", "n", "at")]) for side in "xy")
     reach = F.expr(f"{100 + percent} * least(n_x - at_x, n_y - at_y) >= {percent} * (n_x + n_y)")
     near = F.expr(f"100 * least(n_x, n_y) >= {percent} * greatest(n_x, n_y)")
-    return x.join(y, (x["token"] == y["token"]) & F.expr("rep_x < rep_y and component_x <> component_y") & near & reach).select(F.col("rep_x").alias("a"), F.col("rep_y").alias("b")).distinct()
+    # Where the shingles before agree too, the pair was met there already: only the start of a common run makes a row.
+    fresh = F.expr("coalesce(before_x <> before_y, true)")
+    return x.join(y, (x["token"] == y["token"]) & F.expr("rep_x < rep_y and component_x <> component_y") & fresh & near & reach).select(F.col("rep_x").alias("a"), F.col("rep_y").alias("b")).distinct()
 
 
 def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
