@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions import price, text, web
 from ..operators import rules, windows
+from ..shipping import ship
 from .base import Tables, query
 
 ROBOTS = [("disallow", "/fr/"), ("allow", "/fr/1"), ("disallow", "/*/2"), ("allow", "/en/"), ("disallow", "/*.html$")]
@@ -75,6 +76,7 @@ def html_text(t: Tables) -> DataFrame:
             texts = [web.html_to_text(h) for h in b["html"]]
             yield pd.DataFrame({"sha": b["sha"], "lines": [x.count("\n") + bool(x) for x in texts], "chars": [len(x) for x in texts], "links": [len(web.page_links(h)) for h in b["html"]]})
 
+    ship(t.spark)
     pages = t.pages.select("page_id", "html", F.sha1("html").alias("sha"))
     once = pages.groupBy("sha").agg(F.min("html").alias("html"))
     parsed = once.mapInPandas(parse, "sha string, lines long, chars long, links long")
