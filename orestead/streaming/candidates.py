@@ -6,15 +6,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+def _timed(stream: DataFrame, time: str) -> DataFrame:
+    """Watermarks need a timestamp with a zone."""
+    return stream.withColumn(time, F.col(time).cast("timestamp"))
+
+
 def first_seen(stream: DataFrame, keys: list[str], time: str = "ts", delay: str = "1 day") -> DataFrame:
     """The first row of each key to arrive; a key is forgotten `delay` after the watermark has passed it, so state stays bounded."""
-    return stream.withWatermark(time, delay).dropDuplicatesWithinWatermark(keys)
+    return _timed(stream, time).withWatermark(time, delay).dropDuplicatesWithinWatermark(keys)
 
 
 def daily_counts(stream: DataFrame, service: str, time: str = "ts", delay: str = "1 hour") -> DataFrame:
     """Requests by service and day, final once the watermark has passed the day."""
     day = F.window(time, "1 day")
-    return stream.withWatermark(time, delay).groupBy(service, day).agg(F.count("*").alias("used")).select(service, F.col("window.start").cast("date").alias("day"), "used")
+    return _timed(stream, time).withWatermark(time, delay).groupBy(service, day).agg(F.count("*").alias("used")).select(service, F.col("window.start").cast("date").alias("day"), "used")
 
 
 def over_quota(counts: DataFrame, limit: int) -> DataFrame:
