@@ -17,6 +17,8 @@ from ..shipping import ship
 
 #: Bytes of text that one numpy pass works on; temporaries are about 8 times that each.
 BLOCK_BYTES = 1 << 20
+#: Rows of an Arrow batch at most: both the JVM and the worker hold a batch of texts, some of which are very long.
+BATCH_KEY, BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch", 2000
 #: A side may be broadcast if it was counted and holds no more rows of a few longs than this.
 BROADCAST_ROWS = 200_000
 
@@ -60,8 +62,10 @@ def discard(*tables: DataFrame) -> None:
 
 
 def in_arrow(df: DataFrame, fn: Callable, schema: str) -> DataFrame:
-    """df.mapInArrow, with this package on the workers."""
+    """df.mapInArrow, with this package on the workers and batches small enough for whole texts."""
     ship(df.sparkSession)
+    if int(df.sparkSession.conf.get(BATCH_KEY)) > BATCH_ROWS:
+        df.sparkSession.conf.set(BATCH_KEY, str(BATCH_ROWS))
     return df.mapInArrow(fn, schema)
 
 

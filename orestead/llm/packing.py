@@ -36,27 +36,30 @@ def _tokenizer(path: str) -> CachedTokenizer:
 def _piece_maker(path: str, capacity: int, end_id: int, with_ids: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizer = _tokenizer(path)
-        for batch in batches:
-            for lo, hi, data, offsets in text_blocks(batch.column("text")):
-                raw = data.tobytes()
-                encoded = tokenizer.encode([raw[offsets[i] : offsets[i + 1]].decode() for i in range(hi - lo)])
-                rows, piece, start, length, crc, ids = [], [], [], [], [], []
-                for i, e in enumerate(encoded):
-                    e = np.append(e, np.uint32(end_id)).astype("<u4")
-                    for k, at in enumerate(range(0, len(e), capacity)):
-                        part = e[at : at + capacity]
-                        rows.append(lo + i)
-                        piece.append(k)
-                        start.append(at)
-                        length.append(len(part))
-                        crc.append(zlib.crc32(part.tobytes()))
-                        ids.append(part.astype(np.int64) if with_ids else None)
-                columns = [batch.column("doc_id").take(pa.array(rows, pa.int64())), pa.array(piece, pa.int32()), pa.array(start, pa.int64()), pa.array(length, pa.int64()), pa.array(crc, pa.int64())]
-                names = ["doc_id", "piece", "start", "length", "ids_crc32"]
-                if with_ids:
-                    columns.append(pa.array(ids, pa.list_(pa.int64())))
-                    names.append("ids")
-                yield pa.RecordBatch.from_arrays(columns, names=names)
+        try:
+            for batch in batches:
+                for lo, hi, data, offsets in text_blocks(batch.column("text")):
+                    raw = data.tobytes()
+                    encoded = tokenizer.encode([raw[offsets[i] : offsets[i + 1]].decode() for i in range(hi - lo)])
+                    rows, piece, start, length, crc, ids = [], [], [], [], [], []
+                    for i, e in enumerate(encoded):
+                        e = np.append(e, np.uint32(end_id)).astype("<u4")
+                        for k, at in enumerate(range(0, len(e), capacity)):
+                            part = e[at : at + capacity]
+                            rows.append(lo + i)
+                            piece.append(k)
+                            start.append(at)
+                            length.append(len(part))
+                            crc.append(zlib.crc32(part.tobytes()))
+                            ids.append(part.astype(np.int64) if with_ids else None)
+                    columns = [batch.column("doc_id").take(pa.array(rows, pa.int64())), pa.array(piece, pa.int32()), pa.array(start, pa.int64()), pa.array(length, pa.int64()), pa.array(crc, pa.int64())]
+                    names = ["doc_id", "piece", "start", "length", "ids_crc32"]
+                    if with_ids:
+                        columns.append(pa.array(ids, pa.list_(pa.int64())))
+                        names.append("ids")
+                    yield pa.RecordBatch.from_arrays(columns, names=names)
+        finally:  # workers live on: they shouldn't keep the words of tasks that are done
+            tokenizer.clear()
 
     return run
 
