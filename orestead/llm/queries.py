@@ -81,5 +81,28 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
 
 
+SQL_WORDS = r"list_filter(regexp_split_to_array({}, '[\x20\x09-\x0D]+'), lambda x: x <> '')"
+
+#: DuckDB SQL of the queries that it can express; texts are read whole.
+SQL = {
+    "op7_substring": f"""WITH d AS (SELECT doc_id, {SQL_WORDS.format("coalesce(text, '')")} AS w FROM documents),
+ win AS (SELECT doc_id, i, array_to_string(w[i:i + 34], ' ') AS k FROM d, unnest(range(1, len(w) - 33)) t(i)),
+ hit AS (SELECT doc_id, i FROM win WHERE k IN (SELECT k FROM win GROUP BY k HAVING count(*) > 1)),
+ gone AS (SELECT DISTINCT doc_id, p FROM hit, unnest(range(i, i + 35)) t(p)),
+ flat AS (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS p FROM d),
+ kept AS (SELECT doc_id, string_agg(word, ' ' ORDER BY p) AS kept, count(*) AS n FROM flat ANTI JOIN gone USING (doc_id, p) GROUP BY doc_id)
+ SELECT doc_id, len(w)::BIGINT AS n_words, (len(w) - coalesce(n, 0))::BIGINT AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256 FROM d LEFT JOIN kept USING (doc_id)""",
+    "op10_minhash": f"""WITH RECURSIVE d AS (SELECT doc_id, {SQL_WORDS.format("translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")} AS w FROM documents),
+ s AS (SELECT DISTINCT doc_id, array_to_string(w[i:i + 2], ' ') AS k FROM d, unnest(range(1, greatest(len(w) - 1, 2))) t(i) WHERE len(w) > 0),
+ n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+ met AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b ON a.k = b.k AND a.doc_id < b.doc_id GROUP BY ALL),
+ link AS (SELECT a, b FROM met JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 85 * (x.n + y.n - c)),
+ edge AS (SELECT a, b FROM link UNION SELECT b, a FROM link),
+ reach(a, b) AS (SELECT a, b FROM edge UNION SELECT r.a, e.b FROM reach r JOIN edge e ON r.b = e.a),
+ low AS (SELECT a AS doc_id, min(b) AS m FROM reach GROUP BY a)
+ SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, least(doc_id, m) AS component_id, doc_id = least(doc_id, m) AS kept FROM d LEFT JOIN n USING (doc_id) LEFT JOIN low USING (doc_id)""",
+}
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(SQL)
