@@ -21,12 +21,17 @@ ROLES = ("system", "user", "assistant")
 #: Turns of a block.
 BLOCK = 512
 SMOOTHING = 0.5
-#: Speaker markers at the start of a turn, by role.
-MARKERS = {
-    "system": r"(?i)^\s*(?:#{1,4}\s*|\[|<\|?|\*\*)?(?:system|instructions?)(?:\]|\|?>|\*\*)?\s*(?::|\n|$)",
-    "user": r"(?i)^\s*(?:#{1,4}\s*|\[|<\|?|\*\*)?(?:user|human|question|q|customer)(?:\]|\|?>|\*\*)?\s*(?::|\n|$)",
-    "assistant": r"(?i)^\s*(?:#{1,4}\s*|\[|<\|?|\*\*)?(?:assistant|ai|bot|answer|a|agent)(?:\]|\|?>|\*\*)?\s*(?::|\n|$)",
-}
+#: Words of speaker markers, by role.
+SPEAKERS = {"system": "system|instructions?", "user": "user|human|question|q|customer", "assistant": "assistant|ai|bot|answer|a|agent"}
+
+
+def _marker(words: str) -> str:
+    """A marker at the start of a turn: `User:`, `### Assistant`, `[system]`, `<|user|>`, `**AI**:`."""
+    return rf"(?i)^\s*(?:#{{1,4}}\s*|\[|<\|?|\*\*)?(?:{words})(?:\]|\|?>|\*\*)?\s*(?::|\n|$)"
+
+
+MARKERS = {role: _marker(words) for role, words in SPEAKERS.items()}
+ANY_MARKER = _marker("|".join(SPEAKERS.values()))
 NO_TURN = -1
 
 
@@ -204,9 +209,7 @@ def recover_roles(turns: DataFrame, model: dict) -> DataFrame:
     long_ones = summary.join(several, "conv", "left_semi").groupBy("conv").agg(F.collect_list(F.struct("block", "m")).alias("blocks"))
     outer = in_arrow(long_ones, _joiner(model), "conv string, block long, before int, last int")
     decoded = in_arrow(dealt(scores.join(outer, ["conv", "block"], "left")), _decoder(model), "conv string, t long, role string, starts boolean")
-    body = F.coalesce(F.col("text"), F.lit(""))
-    for pattern in MARKERS.values():
-        body = F.when(body.rlike(pattern), F.regexp_replace(body, pattern, "")).otherwise(body)
+    body = F.regexp_replace(F.coalesce(F.col("text"), F.lit("")), ANY_MARKER, "")
     header = F.when(F.col("starts"), F.concat(F.lit("<|"), F.col("role"), F.lit("|>\n"))).otherwise(F.lit(""))
     out = rows.join(decoded, ["conv", "t"])
     return out.select("conv_id", "turn", "role", "starts", F.concat(header, F.trim(body), F.lit("\n")).alias("rendered"))
