@@ -27,7 +27,7 @@ SPEAKERS = {"system": "system|instructions?", "user": "user|human|question|q|cus
 
 def _marker(words: str) -> str:
     """A marker at the start of a turn: `User:`, `### Assistant`, `[system]`, `<|user|>`, `**AI**:`."""
-    return rf"(?i)^\s*(?:#{{1,4}}\s*|\[|<\|?|\*\*)?(?:{words})(?:\]|\|?>|\*\*)?\s*(?::|\n|$)"
+    return rf"(?i)^\s*(?:#{{1,4}}\s*|\[|<\|?|\*\*)?(?:{words})(?:(?:\]|\|?>|\*\*)\s*:?|\s*(?::|\n|$))"
 
 
 MARKERS = {role: _marker(words) for role, words in SPEAKERS.items()}
