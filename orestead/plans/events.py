@@ -76,7 +76,7 @@ def json_explode(t: Tables) -> DataFrame:
 @query("agg_telemetry", "SELECT date_trunc('hour', ts) AS hour, count(*) AS n, count(*) FILTER (WHERE event_type = 'error') AS unreachable, count(*) FILTER (WHERE event_type = 'error') * 100 > count(*) * 15 AS alert FROM events GROUP BY 1")
 def telemetry(t: Tables) -> DataFrame:
     bad = F.count_if(F.col("event_type") == "error")
-    return t.events.groupBy(F.date_trunc("hour", F.col("ts")).alias("hour")).agg(F.count("*").alias("n"), bad.alias("unreachable"), (bad * 100 > F.count("*") * 15).alias("alert"))
+    return t.events.groupBy(F.date_trunc("hour", F.col("ts")).cast("timestamp_ntz").alias("hour")).agg(F.count("*").alias("n"), bad.alias("unreachable"), (bad * 100 > F.count("*") * 15).alias("alert"))
 
 
 @query("st_retry_cap", """WITH a AS (SELECT user_id, count(*) FILTER (WHERE event_type = 'error') AS tries, bool_or(event_type = 'purchase') AS ok FROM events GROUP BY 1) SELECT user_id, tries, CASE WHEN ok THEN 'done' WHEN tries >= 3 THEN 'unreachable' ELSE 'retry' END AS status FROM a""")
