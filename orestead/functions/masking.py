@@ -27,12 +27,12 @@ _HOUSE = re.compile(rf"(?:^|[,\s]){HOUSE}(?=$|[,\s])", re.I)
 
 
 def mask_names(text: str | None) -> str | None:
-    """Personal names become a mask, unless the match holds an organisation's word; repeated masks are one."""
+    """Personal names become a mask, unless the match holds an organisation's word; repeated masks are one, a lone one keeps the line break after it."""
     if text is None:
         return None
     for p in _NAMES:
         text = p.sub(lambda m: m[0] if _ORG.search(m[0]) else MASK, text)
-    return re.sub(rf"(?:{re.escape(MASK)}\s*)+", lambda m: MASK + (" " if m[0][-1].isspace() else ""), text)
+    return re.sub(rf"(?:{re.escape(MASK)}\s*){{2,}}", lambda m: MASK + (" " if m[0][-1].isspace() else ""), text)
 
 
 def street_and_house(address: str | None) -> tuple[str, str] | None:

@@ -61,6 +61,15 @@ def test_masked_and_fuzzy(spark):
     assert all(r.match == masking.best_match(r.spelt, listed, 0.8) for r in rows if r.how == "fuzzy")
 
 
+def test_names_in_late_lines_are_masked(spark, tmp_path):
+    filler = "".join(f"строка {i} без имён\n" for i in range(2000))
+    rows = [(1, f"{filler}Принимает Петрова Анна Сергеевна\nконец"), (2, filler), (3, None)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r.doc_id: (r.line, r.has_name) for r in registry.queries()["fn_masked_names"](spark, str(tmp_path)).collect()}
+    assert got[1] == (f"{masking.MASK}: {filler}Принимает {masking.MASK}\nконец", True)
+    assert got[2] == (f"{masking.MASK}: {filler}", False) and got[3] == (None, False)
+
+
 def test_items_text(spark):
     rows = run(spark, "ex_items_text")
     assert len(rows) == 3 * spark.read.parquet(f"{SF}/supplier.parquet").count()
