@@ -10,9 +10,10 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # What names and streets look like in Russian.
-PATRONYMIC = r"[А-ЯЁ][а-яё]+(?:вич|вна|ична|оглы|кызы)"
+PATRONYMIC = r"[А-ЯЁ][а-яё]+(?:вич|вна|ична|оглы|кызы|ич\b)"
 WORD = r"[А-ЯЁ][а-яё]+(?:-[А-ЯЁ][а-яё]+)?"
-NAME_PATTERNS = (rf"{WORD}\s+{WORD}\s+{PATRONYMIC}", rf"{WORD}\s+{PATRONYMIC}(?:\s+{WORD})?", rf"{WORD}\s+[А-ЯЁ]\.\s?[А-ЯЁ]\.", rf"[А-ЯЁ]\.\s?[А-ЯЁ]\.\s?{WORD}")
+CAPITALS = r"\b[А-ЯЁ]{2,}\s+[А-ЯЁ]{2,}\s+[А-ЯЁ]{2,}(?:ОВИЧ|ЕВИЧ|ЬЕВИЧ|ОВНА|ЕВНА|ЬЕВНА|ИЧНА|ИНИЧНА)\b"
+NAME_PATTERNS = (rf"{WORD}\s+{WORD}\s+{PATRONYMIC}", rf"{WORD}\s+{PATRONYMIC}(?:\s+{WORD})?", CAPITALS, rf"{WORD}\s+[А-ЯЁ]\.\s?[А-ЯЁ]\.", rf"[А-ЯЁ]\.\s?[А-ЯЁ]\.\s?{WORD}")
 ORGANISATION = r"клиник|центр|больниц|поликлиник|институт|ооо|улиц|проспект|имени"
 MASK = "[ФИО]"
 STREET = r"(?:ул(?:ица|\.)?|пр(?:оспект|-т|\.)?|пер(?:еулок|\.)?|ш(?:оссе|\.)?|б(?:ульвар|-р)|наб(?:ережная|\.)?|пл(?:ощадь|\.)?)"

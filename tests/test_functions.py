@@ -52,6 +52,18 @@ def test_masking(spark):
     assert one(spark, masking.masked, "Иванов Иван Иванович", None) == ["[ФИО]", None]
 
 
+def test_masking_of_capitals_and_short_patronymics(spark):
+    cases = {
+        "Врач ИВАНОВА МАРИЯ ПЕТРОВНА ведёт приём": "Врач [ФИО] ведёт приём", "ПЕТРОВ ПЁТР СЕРГЕЕВИЧ": "[ФИО]",
+        "Принимает Иванов Пётр Ильич, терапевт": "Принимает [ФИО], терапевт", "Пётр Кузьмич Иванов": "[ФИО]", "Отзыв: Иван Лукич": "Отзыв: [ФИО]",
+    }
+    assert [masking.mask_names(x) for x in cases] == list(cases.values())
+    assert one(spark, masking.has_name, *cases) == [True] * len(cases)
+    others = ["ЦЕНТР ИМЕНИ ПЕТРОВНА", "НОВЫЕ ЦЕНЫ СЕГОДНЯ", "Красный Кирпичный завод", None]
+    assert [masking.mask_names(x) for x in others] == others
+    assert one(spark, masking.has_name, *others) == [False] * len(others)
+
+
 def test_price_text_triplets_pairs_and_branches():
     items = extraction.parse_price_text("АМБУЛАТОРНО > ДЕРМАТОЛОГИЯ\nDRMT7\nДерматоскопия кожи прибором\n124 у. е. / 12 437 руб.\nПриём врача первичный — 1 500 руб.\nУдаление от 900 руб.\nтекст без цены")
     assert [(i["code"], i["name"], i["price_value"]) for i in items] == [("DRMT7", "Дерматоскопия кожи прибором", 12437.0), ("", "Приём врача первичный", 1500.0), ("", "Удаление", None)]
