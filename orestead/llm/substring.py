@@ -24,6 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from .common import _WORDS, _WORDS2, Words, grams, in_arrow, int_lists, materialize, mix, rows_of_ids, text_blocks
 
@@ -258,6 +259,17 @@ def _cut(docs: DataFrame, spans: DataFrame, with_text: bool) -> DataFrame:
     return in_arrow(grouped.join(texts, "d").select("d", "t1", "text", "spans"), _cutter(with_text), "d long, t1 long, n_removed long, kept string")
 
 
+def _with_t1(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows with the hash of their text's words, as the scan has it: tells rows that share an id apart."""
+    for batch in batches:
+        found = [np.zeros(0, np.int64)]
+        for _, _, data, offsets in text_blocks(batch.column("text")):
+            words = Words(data, offsets)
+            t1, _ = _Sequence(words).hashes(words.bound[:-1], words.bound[1:])
+            found.append(t1.view(np.int64))
+        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(np.concatenate(found))], names=[*batch.schema.names, "_t1"])
+
+
 _EMPTY_SHA = hashlib.sha256(b"").hexdigest()
 
 
@@ -284,14 +296,17 @@ def remove_repeats(docs: DataFrame, window: int = 35) -> DataFrame:
     """docs with the repeated words taken out of the texts; other rows and columns stay as they are.
 
     White space around kept words stays too. A text that consisted of repeats is empty afterwards; null stays null.
+    Rows whose doc_id is null or repeated are each cut by their own text.
     """
     found = find_repeats(docs, window)
     cut = _cut(docs, found.spans, with_text=True)
     rows = found.scan.select("d", "t1", "t2", "n_words")
     gone = rows.join(found.whole.select("t1", "t2", "n_words"), ["t1", "t2", "n_words"], "left_semi").where(F.col("n_words") >= window).select("d", "t1", F.lit("").alias("kept"))
     changed = cut.select("d", "t1", "kept").union(gone).dropDuplicates(["d", "t1"])
-    changed = materialize(changed.groupBy("d").agg(F.max("kept").alias("_kept")), "sub-changed")
-    small = changed.count() <= 20_000
-    out = _keyed(docs).join(F.broadcast(changed.select("d")) if small else changed.select("d"), "d", "left_anti").drop("d")
-    hit = rows_of_ids(_keyed(docs), changed.select("d"), "d").join(changed, "d")
-    return out.unionByName(hit.withColumn("text", F.when(F.col("text").isNotNull(), F.col("_kept"))).select(*docs.columns))
+    changed = materialize(changed.select("d", F.col("t1").alias("_t1"), F.col("kept").alias("_kept")), "sub-changed")
+    ids = changed.select("d").distinct()
+    small = ids.count() <= 20_000
+    out = _keyed(docs).join(F.broadcast(ids) if small else ids, "d", "left_anti").drop("d")
+    near = rows_of_ids(_keyed(docs), ids, "d")
+    hit = in_arrow(near, _with_t1, StructType([*near.schema.fields, StructField("_t1", LongType())])).join(changed, ["d", "_t1"], "left")
+    return out.unionByName(hit.withColumn("text", F.when(F.col("text").isNotNull(), F.coalesce("_kept", "text"))).select(*docs.columns))

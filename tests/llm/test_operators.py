@@ -206,6 +206,17 @@ def test_substring(spark, edge, none, docs):
     assert cut[6] == "before after" and cut[7] == "other start " and cut[1] is None and cut[4] == "One"
 
 
+def test_substring_keeps_each_text_of_a_shared_id(spark):
+    copied = " ".join(f"copy{i}" for i in range(40))
+    rows = [
+        (None, f"a  {PASSAGE} tail", 1), (None, f"zz {PASSAGE}\nlast", 2), (None, "no  repeat here", 3), (None, None, 4), (None, "", 5), (None, copied, 6), (None, copied, 7),
+        (1, f"first {PASSAGE}", 8), (1, "other text of the same id", 9), (1, f"third {PASSAGE} end", 10), (2, "untouched", 11), (2, copied, 12),
+    ]
+    got = {r.n: (r.doc_id, r.text) for r in substring.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string, n long")).collect()}
+    left = {1: "a  tail", 2: "zz last", 6: "", 7: "", 8: "first ", 10: "third end", 12: ""}
+    assert got == {n: (i, left.get(n, t)) for i, t, n in rows}
+
+
 def _rule(url):
     m = re.search(r"://([^/?#]*)([^?#]*)", url or "")
     host, path = (re.sub("[A-Z]", lambda x: x[0].lower(), m[1]), m[2]) if m else ("", "")
