@@ -1,10 +1,10 @@
 """Document fingerprints: a homomorphic multiset hash of paragraphs.
 
-A paragraph (a line) hashes to a wide vector; a document's fingerprint is the sum of its paragraphs' vectors modulo
-2**16 in each lane. So the order of paragraphs doesn't matter, and one can be put in or taken out by adding or
+A paragraph (a line) hashes to a wide vector; a document's fingerprint is the sum of its paragraphs' vectors, modulo
+2**16 in the IDENTITY lanes and modulo 2**32 in the SKETCH lanes. So the order of paragraphs doesn't matter, and one can be put in or taken out by adding or
 subtracting its vector (insert, delete). The first IDENTITY lanes are the paragraph's BLAKE2b digest: they tell whether
 two multisets are equal. The other SKETCH lanes sum signs of the paragraph's word shingles; differences of those sums
-are small numbers, centred modulo 2**16, and give the likeness of two documents.
+are small numbers, centred modulo 2**32, and give the likeness of two documents.
 """
 
 from __future__ import annotations
@@ -28,9 +28,9 @@ GROUP_BYTES = 12 << 20
 
 
 def _vectors(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    """uint16 fingerprints of a block of documents, (documents, lanes)."""
+    """uint32 fingerprints of a block of documents, (documents, lanes); the IDENTITY lanes stay below 2**16."""
     n = len(offsets) - 1
-    out = np.zeros((n, IDENTITY + SKETCH), dtype=np.uint16)
+    out = np.zeros((n, IDENTITY + SKETCH), dtype=np.uint32)
     raw = data.tobytes()
     digests, owner = [], []
     for i in range(n):
@@ -65,7 +65,7 @@ def _vectors(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         lane = (h % np.uint64(SKETCH)).astype(np.int64)
         sign = np.where((h >> np.uint64(63)).astype(bool), 1.0, -1.0)
         sums = np.bincount(doc * SKETCH + lane, weights=sign, minlength=n * SKETCH).astype(np.int64)
-        out[:, IDENTITY:] = sums.reshape(n, SKETCH).astype(np.uint16)
+        out[:, IDENTITY:] = sums.reshape(n, SKETCH).astype(np.uint32)
     return out
 
 
@@ -80,7 +80,7 @@ def fingerprints(texts: list[bytes]) -> np.ndarray:
         offsets = np.concatenate([[0], np.cumsum([len(t) for t in texts[lo:hi]])]).astype(np.int64)
         parts.append(_vectors(np.frombuffer(b"".join(texts[lo:hi]), dtype=np.uint8), offsets))
         lo = hi
-    return np.concatenate(parts) if parts else np.zeros((0, IDENTITY + SKETCH), np.uint16)
+    return np.concatenate(parts) if parts else np.zeros((0, IDENTITY + SKETCH), np.uint32)
 
 
 def fingerprint(text: str | None) -> str:
@@ -88,11 +88,12 @@ def fingerprint(text: str | None) -> str:
 
 
 def encode(vector: np.ndarray) -> str:
-    return base64.b64encode(vector.astype("<u2").tobytes()).decode()
+    return base64.b64encode(vector[:IDENTITY].astype("<u2").tobytes() + vector[IDENTITY:].astype("<u4").tobytes()).decode()
 
 
 def decode(value: str) -> np.ndarray:
-    return np.frombuffer(base64.b64decode(value), dtype="<u2")
+    raw = base64.b64decode(value)
+    return np.concatenate([np.frombuffer(raw, "<u2", IDENTITY).astype(np.uint32), np.frombuffer(raw, "<u4", SKETCH, 2 * IDENTITY)])
 
 
 def insert(value: str, paragraph: str) -> str:
@@ -106,8 +107,8 @@ def delete(value: str, paragraph: str) -> str:
 
 def likeness(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """0 to 1 for each pair of vectors: the part of both multisets of shingles that is common; 1 for equal ones."""
-    x, y = (v[..., IDENTITY:].view(np.int16).astype(np.float64) for v in (a, b))
-    apart = (a[..., IDENTITY:] - b[..., IDENTITY:]).view(np.int16).astype(np.float64)
+    x, y = (v[..., IDENTITY:].view(np.int32).astype(np.float64) for v in (a, b))
+    apart = (a[..., IDENTITY:] - b[..., IDENTITY:]).view(np.int32).astype(np.float64)
     size = (x * x).sum(-1) + (y * y).sum(-1)
     part = 1 - (apart * apart).sum(-1) / np.where(size > 0, size, 1)
     part = np.where(size > 0, np.clip(part, 0, 1), 0.0)

@@ -141,6 +141,13 @@ def test_fingerprints_add_and_subtract():
     assert fingerprint.delete(f("a b\nc d\ne"), "c d") == f("a b\ne")
 
 
+def test_fingerprints_of_one_word_repeated_often():
+    text = b"word " * 65_540
+    a, b = fingerprint.fingerprints([text, text[: len(text) * 3 // 4] + b"other words follow here"])
+    assert fingerprint.likeness(a, b) > 0.9 and fingerprint.likeness(a, a) == 1
+    assert (fingerprint.decode(fingerprint.encode(a)) == a).all()
+
+
 def test_mixing(edge, none, docs):
     got = mixing.mix_sources(edge).toPandas()
     assert len(got) == len(ROWS) and (got["taken"] <= 2 * got["size"]).all()
