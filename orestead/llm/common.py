@@ -42,10 +42,14 @@ def scratch(spark: SparkSession) -> str:
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Writes df to the shared folder and reads it back: cuts the lineage, survives a lost executor, prunes columns."""
+    """Writes df to the shared folder and reads it back: cuts the lineage, survives a lost executor, prunes columns.
+
+    discard() deletes it; else it goes when the driver ends.
+    """
     spark = df.sparkSession
     path = f"{scratch(spark)}/orestead/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    _folder(spark, path, "deleteOnExit")
+    df.write.mode("append").parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._orestead_path = path
     return out
@@ -56,9 +60,16 @@ def discard(*tables: DataFrame) -> None:
     for df in tables:
         path = getattr(df, "_orestead_path", None)
         if path:
-            jvm = df.sparkSession._jvm
-            at = jvm.org.apache.hadoop.fs.Path(path)
-            at.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(at, True)
+            _folder(df.sparkSession, path, "delete", True)
+
+
+def _folder(spark: SparkSession, path: str, call: str, *args: bool) -> None:
+    """A call of the file system that holds path. deleteOnExit only notes folders that exist."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = at.getFileSystem(spark._jsc.hadoopConfiguration())
+    if call == "deleteOnExit":
+        system.mkdirs(at)
+    getattr(system, call)(at, *args)
 
 
 def in_arrow(df: DataFrame, fn: Callable, schema: str) -> DataFrame:
@@ -69,6 +80,17 @@ def in_arrow(df: DataFrame, fn: Callable, schema: str) -> DataFrame:
     return df.mapInArrow(fn, schema)
 
 
+def unused(df: DataFrame, *names: str) -> list[str]:
+    """names, with underscores put before until no column of df has them."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name = f"_{name}"
+        out.append(name)
+        taken.add(name.lower())
+    return out
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

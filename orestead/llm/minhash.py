@@ -4,9 +4,10 @@ Two collections of HALVES half keys of ROWS minhashes each are computed; a table
 either collection, so 2 x HALVES x ROWS minhashes serve HALVES**2 tables. Documents that share a key are candidates.
 
 Candidates aren't expanded to all pairs of a bucket. Sets that are equal are one class from the start. In each
-bucket the members are compared with one centre; linked members join its component, and only what is still in
-different components of one bucket goes on: to another centre, and in the end to an exact prefix filter over the
-rarest shingles. So every candidate pair is in one component already, or compared on full sets, or cannot be
+bucket the members are compared with one centre, the one that meets the most sets over all tables; linked members join
+its component, and only what is still in different components of one bucket goes on: to a few members of the largest
+component there, to the middle one of its members as those few show it, and in the end to an exact prefix filter over
+the rarest shingles. So every candidate pair is in one component already, or compared on full sets, or cannot be
 similar enough, whatever the size of a group of copies or the number of texts around one common passage.
 
 At similarity s a pair misses all tables with probability 1 - (1 - (1 - s**ROWS)**HALVES)**2: 7e-5 at 0.85, 3e-6 at 0.9.
@@ -18,15 +19,17 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import Words, discard, grams, in_arrow, int_lists, materialize, mix, rows_of_ids, text_blocks
+from .common import BROADCAST_ROWS, Words, discard, grams, in_arrow, int_lists, materialize, mix, text_blocks
 from .components import components
 
 ROWS, HALVES = 2, 8
-#: Rounds of comparing with centres, before what is still apart is matched by rare shingles.
-STAR_ROUNDS = 2
+#: Members by which a component's middle is found. Comparing with middles goes on while it links this part of the pairs.
+REFERENCES, SETTLED = 3, 0.1
+#: Bands of set sizes to a doubling.
+BANDS = 96
 #: Counters of the sketch of shingle frequencies; any size is right, more of them make rarer keys.
 SKETCH = 1 << 18
 
@@ -72,8 +75,8 @@ def _sketcher(k: int):
                             acc = mix(acc + low[r::ROWS])
                         halves[i] = acc
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id").slice(lo, n), pa.array(size), pa.array(h1.view(np.int64)), pa.array(h2.view(np.int64)), int_lists(halves.view(np.int64).ravel(), np.arange(n + 1) * 2 * HALVES)],
-                    names=["doc_id", "n_shingles", "h1", "h2", "halves"],
+                    [batch.column("doc_id").slice(lo, n), batch.column("text_hash").slice(lo, n), pa.array(size), pa.array(h1.view(np.int64)), pa.array(h2.view(np.int64)), int_lists(halves.view(np.int64).ravel(), np.arange(n + 1) * 2 * HALVES)],
+                    names=["doc_id", "text_hash", "n_shingles", "h1", "h2", "halves"],
                 )
 
     return run
@@ -85,29 +88,30 @@ def _verifier(k: int, percent: int):
         for batch in batches:
             a, b = batch.column("a"), batch.column("b")
             ta, tb = batch.column("text_a"), batch.column("text_b")
-            keep = []
+            keep, alike = [], []
             for i in range(len(a)):
                 key = a[i].as_py()
                 if key != last_id:
                     last_id, last = key, shingle_set(ta[i].as_py(), k)
                 other = shingle_set(tb[i].as_py(), k)
                 small, large = sorted((len(last), len(other)))
-                if 100 * small < percent * large:
-                    keep.append(False)
-                    continue
-                both = len(np.intersect1d(last, other, assume_unique=True))
+                both = 0 if 100 * small < percent * large else len(np.intersect1d(last, other, assume_unique=True))
                 keep.append(100 * both >= percent * (small + large - both) and both > 0)
-            yield pa.RecordBatch.from_arrays([a, b, pa.array(keep, pa.bool_())], names=["a", "b", "linked"])
+                alike.append(both / max(small + large - both, 1))
+            yield pa.RecordBatch.from_arrays([a, b, pa.array(keep, pa.bool_()), pa.array(alike, pa.float64())], names=["a", "b", "linked", "alike"])
 
     return run
 
 
 def _prefix_pairs(rows: DataFrame, k: int, percent: int) -> DataFrame:
-    """(a, b): pairs of rows (rep, component, text) in different components that can reach the similarity.
+    """(a, b): pairs of rows (node, component, members, text) in different components that can reach the similarity.
 
     Exact prefix filter: with shingles in one order, rarest first, two sets that are similar enough share one of their
-    first n - ceil(percent * n / 100) + 1, and at the first one they share what follows must still suffice. The order
-    comes from a sketch of the frequencies in these rows, of a fixed size; it decides the work, not the result.
+    first shingles, so early in both that what follows can still suffice. A pair meets as the smaller and the larger
+    set: the smaller one's place must suffice for a partner of its own size; the larger one names, for each of its
+    first shingles, the bands of sizes for which that place suffices. So sets around one common text meet only where a
+    pair could be similar enough. In each meeting the component with the most members isn't joined with itself. The
+    order comes from a sketch of the frequencies in these rows, of a fixed size; it decides the work, not the result.
     """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -126,94 +130,156 @@ def _prefix_pairs(rows: DataFrame, k: int, percent: int) -> DataFrame:
     def prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         frequency = shared.value
         for batch in batches:
-            out: list[list[np.ndarray]] = [[] for _ in range(6)]
-            for rep, component, text in zip(*[batch.column(c).to_pylist() for c in ("rep", "component", "text")], strict=True):
+            out: list[list[np.ndarray]] = [[] for _ in range(11)]
+            for node, component, members, text in zip(*[batch.column(c).to_pylist() for c in ("node", "component", "members", "text")], strict=True):
                 u = shingle_set(text, k)
                 n = len(u)
                 u = u[np.lexsort((u, frequency[(u % np.uint64(SKETCH)).astype(np.int64)]))][: n - -(-percent * n // 100) + 1]
-                token = u.view(np.int64)
+                token, at = u.view(np.int64), np.arange(len(u))
                 before = np.concatenate([token[:1], token[:-1]])
-                for column, v in zip(out, (token, before, np.full(len(u), rep), np.full(len(u), component), np.full(len(u), n), np.arange(len(u))), strict=True):
+                small = (100 + percent) * (n - at) >= 2 * percent * n
+                most = np.minimum(n, (100 + percent) * (n - at) // percent - n)
+                values = (token, before, np.full(len(u), node), np.full(len(u), component), np.full(len(u), members), np.full(len(u), n), at, small, np.full(len(u), _band(n)), _band(most), np.full(len(u), _band(-(-percent * n // 100))))
+                for column, v in zip(out, values, strict=True):
                     column.append(v)
-            flat = [np.concatenate(c) if c else np.zeros(0, np.int64) for c in out]
-            columns = [pa.array(flat[0]), pa.array(flat[1], mask=flat[5] == 0), *(pa.array(c) for c in flat[2:])]
-            yield pa.RecordBatch.from_arrays(columns, names=["token", "before", "rep", "component", "n", "at"])
-
-    tokens = materialize(in_arrow(rows.select("rep", "component", "text"), prefixes, "token long, before long, rep long, component long, n long, at long"), "mh-prefix")
-    x, y = (tokens.select("token", *[F.col(c).alias(f"{c}_{side}") for c in ("before", "rep", "component", "n", "at")]) for side in "xy")
-    reach = F.expr(f"{100 + percent} * least(n_x - at_x, n_y - at_y) >= {percent} * (n_x + n_y)")
-    near = F.expr(f"100 * least(n_x, n_y) >= {percent} * greatest(n_x, n_y)")
+            flat = [np.concatenate(c) if c else np.zeros(0, bool if i == 7 else np.int64) for i, c in enumerate(out)]
+            columns = [pa.array(flat[0]), pa.array(flat[1], mask=flat[6] == 0), *(pa.array(c) for c in flat[2:])]
+            yield pa.RecordBatch.from_arrays(columns, names=["token", "before", "node", "component", "members", "n", "at", "small", "band", "upto", "least"])
+
+    schema = "token long, before long, node long, component long, members long, n long, at long, small boolean, band long, upto long, least long"
+    tokens = materialize(in_arrow(rows.select("node", "component", "members", "text"), prefixes, schema), "mh-prefix")
+    apart = F.min("component") != F.max("component")
+    met = tokens.groupBy("token").agg(apart.alias("apart")).where("apart").select("token")
+    tokens = tokens.join(met, "token")
+    x = tokens.where("small")
+    y = tokens.where("upto >= least").withColumn("band", F.explode(F.sequence("least", "upto"))).withColumn("small", F.lit(False))
+    met_in = materialize(x.unionByName(y).drop("upto", "least"), "mh-bands")
+    sides = F.bool_or("small") & F.bool_or(~F.col("small"))
+    groups = met_in.groupBy("token", "band").agg((apart & sides).alias("apart"), F.max(F.struct("members", "component"))["component"].alias("main")).where("apart").select("token", "band", "main")
+    met_in = met_in.join(groups, ["token", "band"]).withColumn("foreign", F.col("component") != F.col("main"))
+    named = lambda side: met_in.where("small" if side == "x" else "not small").select("token", "band", *[F.col(c).alias(f"{c}_{side}") for c in ("before", "node", "component", "n", "at", "foreign")])
+    ordered = F.expr("(n_x < n_y or (n_x = n_y and node_x < node_y)) and component_x <> component_y")
+    reach = F.expr(f"{100 + percent} * least(n_x - at_x, n_y - at_y) >= {percent} * (n_x + n_y) and 100 * n_x >= {percent} * n_y")
     # Where the shingles before agree too, the pair was met there already: only the start of a common run makes a row.
     fresh = F.expr("coalesce(before_x <> before_y, true)")
-    return x.join(y, (x["token"] == y["token"]) & F.expr("rep_x < rep_y and component_x <> component_y") & fresh & near & reach).select(F.col("rep_x").alias("a"), F.col("rep_y").alias("b")).distinct()
+    found = None
+    for left, right in ((named("x").where("foreign_x"), named("y")), (named("x").where("not foreign_x"), named("y").where("foreign_y"))):
+        on = (left["token"] == right["token"]) & (left["band"] == right["band"]) & ordered & fresh & reach
+        part = left.join(right, on).select(F.least("node_x", "node_y").alias("a"), F.greatest("node_x", "node_y").alias("b"))
+        found = part if found is None else found.union(part)
+    return found.distinct()
+
+
+def _band(n: np.ndarray | int) -> np.ndarray:
+    """Band of a set's size: one size each up to about BANDS, then BANDS to a doubling. -1 for none."""
+    return np.where(n > 0, np.floor(np.log2(np.maximum(n, 1)) * BANDS), -1).astype(np.int64)
 
 
 def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     """Links documents whose sets of k-word shingles have a Jaccard similarity of at least percent / 100.
 
-    Returns doc_id, n_shingles, component_id (the smallest doc_id reachable over links) and kept (doc_id is the
-    component's). Words are runs of anything but ASCII white space, with A-Z lower-cased; a text of fewer than k words
-    is one shingle; texts without words (or null) have the empty set and link with nothing. Repeated rows are links
-    like any equal sets. doc_id stands for a document: rows that share one are one node. Rows whose doc_id is null
-    take the component of an equal set, else null. An empty table gives no rows; other columns are ignored.
+    Returns doc_id, n_shingles, component_id (the smallest doc_id reachable over links), kept (doc_id is the
+    component's), text_hash (xxhash64 of the text) and group_node (a number for the component, which null ids have
+    too). Words are runs of anything but ASCII white space, with A-Z lower-cased; a text of fewer than k words is one
+    shingle; texts without words (or null) have the empty set and link with nothing. Every row is a document of its
+    own, also where doc_id is null or repeated: rows with equal sets are linked, rows that only share an id aren't.
+    A component without any doc_id has a null component_id. An empty table gives no rows; other columns are ignored.
     """
-    sketches = in_arrow(docs.select("doc_id", "text"), _sketcher(k), "doc_id long, n_shingles long, h1 long, h2 long, halves array<long>")
-    sketches = materialize(sketches, "mh-sketch")
+    keyed = docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash"))
+    sketches = in_arrow(keyed, _sketcher(k), "doc_id long, text_hash long, n_shingles long, h1 long, h2 long, halves array<long>")
+    sketches = materialize(sketches.withColumn("row", F.monotonically_increasing_id()), "mh-sketch")
     sets = ["h1", "h2", "n_shingles"]
-    classes = materialize(
-        sketches.where("n_shingles > 0 and doc_id is not null").groupBy(*sets).agg(F.min("doc_id").alias("rep"), F.min("halves").alias("halves")), "mh-class"
-    )
-    member = sketches.select("doc_id", *sets).join(classes.select(*sets, "rep"), sets, "left").select("doc_id", "n_shingles", "rep")
-    shared = member.where("rep is not null").groupBy("doc_id").agg(F.min("rep").alias("a"), F.max("rep").alias("b")).where("a <> b").select("a", "b")
-    shared = shared.union(shared.select("b", "a"))
+    # One node for each distinct set: its first row, which also gives its text.
+    first = F.min(F.struct("row", "doc_id", "text_hash"))
+    classes = sketches.where("n_shingles > 0").groupBy(*sets).agg(first.alias("f"), F.min("doc_id").alias("low"), F.min("halves").alias("halves"))
+    classes = materialize(classes.select(*sets, F.col("f.row").alias("node"), "f.doc_id", "f.text_hash", "low", "halves"), "mh-class")
 
     # A set of u shingles can only miss one of the union's if u is at least 100 / (100 - percent).
     least = -(-percent // (100 - percent)) if percent < 100 else 1 << 60
     pairs = F.flatten(F.transform(F.sequence(F.lit(0), F.lit(HALVES - 1)), lambda i: F.transform(F.sequence(F.lit(HALVES), F.lit(2 * HALVES - 1)), lambda j: F.xxhash64(F.get("halves", i), F.get("halves", j)))))
-    keys = classes.where(F.col("n_shingles") >= least).select("rep", F.explode(pairs).alias("key"))
-    full = keys.groupBy("key").agg(F.count("*").alias("c")).where("c > 1").select("key")
-    buckets = materialize(keys.join(full, "key"), "mh-bucket")
-    texts = rows_of_ids(docs.select("doc_id", "text"), buckets.select(F.col("rep").alias("doc_id")).distinct(), "doc_id")
-    texts = materialize(texts.groupBy("doc_id").agg(F.min("text").alias("text")), "mh-text")
+    keys = classes.where(F.col("n_shingles") >= least).select("node", F.explode(pairs).alias("key"))
+    full = keys.groupBy("key").agg(F.count("*").alias("c")).where("c > 1")
+    # The nodes that meet the most others over all tables are the middles of their groups: they make the best centres.
+    meets = F.sum("c").over(Window.partitionBy("node"))
+    buckets = materialize(keys.join(full, "key").select("key", "node", meets.alias("meets")), "mh-bucket")
+    texts = _texts(docs, classes.select("node", "doc_id", "text_hash").join(buckets.select("node").distinct(), "node", "left_semi"))
 
     def verified(candidates: DataFrame) -> DataFrame:
-        a = texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a"))
-        b = texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b"))
+        a = texts.select(F.col("node").alias("a"), F.col("text").alias("text_a"))
+        b = texts.select(F.col("node").alias("b"), F.col("text").alias("text_b"))
         pairs = candidates.join(b, "b").join(a, "a").select("a", "b", "text_a", "text_b")
-        return materialize(in_arrow(pairs, _verifier(k, percent), "a long, b long, linked boolean"), "mh-checked")
+        return materialize(in_arrow(pairs, _verifier(k, percent), "a long, b long, linked boolean, alike double"), "mh-checked")
 
     checked: list[DataFrame] = []
-    labels = None
+    state = {"labels": components(docs.sparkSession.createDataFrame([], "a long, b long")), "open": buckets.select("*", F.col("node").alias("component"))}
 
-    def merged() -> DataFrame:
-        links = shared
-        for c in checked:
-            links = links.union(c.where("linked").select("a", "b"))
-        return components(links)
-
-    for round_ in range(STAR_ROUNDS + 1 if not buckets.isEmpty() else 0):
-        if labels is None:
-            at = buckets.select("key", "rep", F.col("rep").alias("component"))
-        else:
-            at = buckets.join(labels.withColumnRenamed("node", "rep"), "rep", "left").select("key", "rep", F.coalesce("component", "rep").alias("component"))
-            mixed = at.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y").select("key")
-            at = materialize(at.join(mixed, "key"), "mh-open")
-        if round_ == STAR_ROUNDS:
-            left = at.select("rep", "component").distinct()
-            candidates = _prefix_pairs(left.join(texts.withColumnRenamed("doc_id", "rep"), "rep"), k, percent)
-        else:
-            rank = F.struct(F.xxhash64(F.lit(round_), "rep").alias("h"), F.col("rep").alias("c"), F.col("component").alias("cc"))
-            centre = at.groupBy("key").agg(F.min(rank).alias("m")).select("key", "m.c", "m.cc")
-            star = at.join(centre, "key").where("rep <> c and component <> cc")
-            candidates = star.select(F.least("rep", "c").alias("a"), F.greatest("rep", "c").alias("b")).distinct()
+    def compared(candidates: DataFrame, last: bool = False) -> bool:
+        """Verifies pairs that haven't been, and redraws components and open buckets; whether a good part was linked."""
         for c in checked:
             candidates = candidates.join(c.select("a", "b"), ["a", "b"], "left_anti")
         checked.append(verified(candidates))
-        if labels is None or not checked[-1].where("linked").isEmpty():
-            labels = merged()
-    if labels is None:
-        labels = components(shared)
-    discard(buckets, texts)
-    out = member.join(labels.withColumnRenamed("node", "rep"), "rep", "left")
-    component = F.coalesce("component", "rep", "doc_id")
-    return out.select("doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"))
+        met = checked[-1].agg(F.count("*").alias("n"), F.coalesce(F.sum(F.col("linked").cast("long")), F.lit(0)).alias("linked")).first()
+        if not met["linked"]:
+            return False
+        discard(state["labels"])
+        state["labels"] = components(_united(checked).where("linked").select("a", "b"))
+        if last:
+            return False
+        at = buckets.join(state["labels"], "node", "left").select("key", "node", "meets", F.coalesce("component", "node").alias("component"))
+        mixed = at.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y").select("key")
+        still = materialize(at.join(mixed, "key"), "mh-open")
+        discard(state["open"])
+        state["open"] = still
+        return met["linked"] >= SETTLED * met["n"]
+
+    pair = lambda c: (F.least("node", c).alias("a"), F.greatest("node", c).alias("b"))
+    if not buckets.isEmpty():
+        centre = buckets.groupBy("key").agg(F.max(F.struct("meets", "node"))["node"].alias("c"))
+        compared(buckets.join(centre, "key").where("node <> c").select(*pair("c")).distinct())
+        more = True
+        while more and not state["open"].isEmpty():
+            # The largest component of each open bucket, by a few of its members, against all that meets it there.
+            at = state["open"]
+            nodes = at.select("node", "component").distinct()
+            ranked = nodes.withColumn("i", F.row_number().over(Window.partitionBy("component").orderBy(F.xxhash64("node"))))
+            refs = materialize(ranked.where(F.col("i") <= REFERENCES).select(F.col("component").alias("main"), F.col("node").alias("c")), "mh-refs")
+            size = nodes.groupBy("component").agg(F.count("*").alias("members"))
+            main = at.join(size, "component").groupBy("key").agg(F.max(F.struct("members", "component"))["component"].alias("main"))
+            towards = materialize(at.join(main, "key").select("node", "component", "main").distinct(), "mh-main")
+            seen = towards.join(refs, "main").where("node <> c").select("node", "component", "main", "c")
+            more = compared(seen.select(*pair("c")).distinct())
+            # Of its members the one most like these few is its middle, and is compared in turn.
+            alike = seen.where("component = main").select("node", "main", *pair("c")).join(_united(checked).select("a", "b", "alike"), ["a", "b"])
+            middle = alike.groupBy("main", "node").agg(F.sum("alike").alias("score")).groupBy("main").agg(F.max(F.struct("score", "node"))["node"].alias("c"))
+            left = towards.where("component <> main").select("node", "main").join(state["open"].select("node").distinct(), "node", "left_semi")
+            more = compared(left.join(middle, "main").select(*pair("c")).distinct()) or more
+            discard(refs, towards)
+        at = state["open"]
+        if not at.isEmpty():
+            left = at.select("node", "component").distinct()
+            left = left.join(left.groupBy("component").agg(F.count("*").alias("members")), "component")
+            compared(_prefix_pairs(left.join(texts, "node"), k, percent), last=True)
+    labels = state["labels"]
+    lows = classes.select(*sets, "node", "low").join(labels, "node", "left").select(*sets, "low", F.coalesce("component", "node").alias("group_node"))
+    component = lows.groupBy("group_node").agg(F.min("low").alias("component_id"))
+    lows = materialize(lows.drop("low").join(component, "group_node"), "mh-group")
+    discard(buckets, texts, state["open"], labels, classes, *checked)
+    out = sketches.select("doc_id", "text_hash", *sets).join(lows, sets, "left")
+    own = F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
+    return out.select("doc_id", "n_shingles", own.alias("component_id"), F.col("doc_id").eqNullSafe(own).alias("kept"), "text_hash", "group_node")
+
+
+def _united(tables: list[DataFrame]) -> DataFrame:
+    out = tables[0]
+    for t in tables[1:]:
+        out = out.union(t)
+    return out
+
+
+def _texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """node and text of wanted (node, doc_id, text_hash)."""
+    keyed = docs.select(F.coalesce("doc_id", F.lit(0)).alias("d"), F.col("doc_id").isNull().alias("none"), F.xxhash64("text").alias("text_hash"), "text")
+    key = ["d", "none", "text_hash"]
+    wanted = wanted.select("node", F.coalesce("doc_id", F.lit(0)).alias("d"), F.col("doc_id").isNull().alias("none"), "text_hash")
+    found = keyed.join(F.broadcast(wanted) if wanted.count() <= BROADCAST_ROWS else wanted, key)
+    return materialize(found.groupBy("node").agg(F.min("text").alias("text")), "mh-text")

@@ -74,7 +74,7 @@ def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_duplicates(_read(spark, sf_dir, "documents"), k=3, percent=85)
+    return near_duplicates(_read(spark, sf_dir, "documents"), k=3, percent=85).drop("text_hash", "group_node")
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
