@@ -10,21 +10,22 @@ are small numbers, centred modulo 2**32, and give the likeness of two documents.
 from __future__ import annotations
 
 import base64
+import bisect
 import hashlib
 import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import BLOCK_BYTES, Words, grams, mix, ship
+from .common import BLOCK_BYTES, Words, grams, in_arrow, mix, ship, shuffle_partitions
 
 IDENTITY, SKETCH = 32, 256
 SHINGLE = 3
-#: Bytes of text that one group of neighbouring documents should have.
-GROUP_BYTES = 12 << 20
+#: Bytes of text that one range of neighbouring documents should have.
+GROUP_BYTES = 64 << 20
 
 
 def _vectors(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
@@ -69,10 +70,28 @@ def _vectors(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return out
 
 
+def _long(text: bytes) -> np.ndarray:
+    """A long text's vector: the sum of those of its runs of lines, of bounded size unless a line is longer."""
+    total, lo = np.zeros(IDENTITY + SKETCH, np.uint32), 0
+    while lo <= len(text):
+        hi = len(text) if len(text) - lo <= BLOCK_BYTES else text.rfind(b"\n", lo, lo + BLOCK_BYTES)
+        if hi < 0:
+            hi = text.find(b"\n", lo + BLOCK_BYTES)
+        hi = len(text) if hi < 0 else hi
+        total += _vectors(np.frombuffer(text[lo:hi], np.uint8), np.array([0, hi - lo]))[0]
+        lo = hi + 1
+    total[:IDENTITY] &= np.uint32(0xFFFF)
+    return total
+
+
 def fingerprints(texts: list[bytes]) -> np.ndarray:
     """Vectors of many texts, a bounded number of bytes at a time."""
     parts, lo = [], 0
     while lo < len(texts):
+        if len(texts[lo]) > BLOCK_BYTES:
+            parts.append(_long(texts[lo])[None])
+            lo += 1
+            continue
         hi, size = lo, 0
         while hi < len(texts) and (hi == lo or size + len(texts[hi]) <= BLOCK_BYTES):
             size += len(texts[hi])
@@ -115,87 +134,81 @@ def likeness(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.where((a == b).all(-1), 1.0, part)
 
 
-def _grouped():
-    import pandas as pd
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["own", "null_id", "doc_id", "text"], ascending=[False, False, True, True], kind="stable", na_position="first")
-        own = int(pdf["own"].sum())
-        texts = [t if isinstance(t, str) else "" for t in pdf["text"]]
-        if len(texts) == own:  # the only document
-            texts.append(texts[0] if texts else "")
-        texts = texts[: own + 1]
-        edited, counts = [], []
-        for text, following in zip(texts[:own], texts[1:], strict=True):
-            n = len(text)
-            cut = n // 4
-            counts.append(n)
-            edited.append((text[: n - cut] + following[:cut]).encode())
-        own_vectors, edited_vectors = fingerprints([t.encode() for t in texts]), fingerprints(edited)
-        return pd.DataFrame(
-            {
-                "doc_id": pdf["doc_id"].iloc[:own].astype("Int64").mask(pdf["null_id"].iloc[:own] == 1).reset_index(drop=True),
-                "n_chars": np.array(counts, dtype=np.int64),
-                "edited_sha256": [hashlib.sha256(e).hexdigest() for e in edited],
-                "fingerprint": [encode(v) for v in own_vectors[:own]],
-                "edited_fingerprint": [encode(v) for v in edited_vectors],
-                "near_edited": likeness(own_vectors[:own], edited_vectors),
-                "near_next": likeness(own_vectors[:own], own_vectors[1 : own + 1]),
-            }
-        )
-
-    return run
-
-
-def fingerprint_neighbours(docs: DataFrame) -> DataFrame:
+def _stream(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows in order (g, document); the last of each group is its successor only. Holds one batch and one row at a time."""
+    held: tuple | None = None  # group, doc_id, own, text, vector
+    for batch in batches:
+        group, ids, own = (batch.column(c).to_pylist() for c in ("g", "doc_id", "own"))
+        texts = [t or "" for t in batch.column("text").to_pylist()]
+        vectors = fingerprints([t.encode() for t in texts])
+        before = [held] if held else []
+        rows = before + list(zip(group, ids, own, texts, vectors, strict=True))
+        pairs = [(a, b) for a, b in zip(rows, rows[1:]) if a[2] and a[0] == b[0]]  # noqa: B905
+        held = rows[-1] if rows else None
+        if pairs:
+            yield _compared(pairs)
+
+
+def _compared(pairs: list[tuple]) -> pa.RecordBatch:
+    edited, counts = [], []
+    for a, b in pairs:
+        n = len(a[3])
+        cut = n // 4
+        counts.append(n)
+        edited.append((a[3][: n - cut] + b[3][:cut]).encode())
+    own, following, changed = np.stack([a[4] for a, _ in pairs]), np.stack([b[4] for _, b in pairs]), fingerprints(edited)
+    columns = {
+        "doc_id": pa.array([a[1] for a, _ in pairs], pa.int64()), "n_chars": pa.array(counts, pa.int64()),
+        "edited_sha256": pa.array([hashlib.sha256(e).hexdigest() for e in edited]),
+        "fingerprint": pa.array([encode(v) for v in own]), "edited_fingerprint": pa.array([encode(v) for v in changed]),
+        "near_edited": pa.array(likeness(own, changed)), "near_next": pa.array(likeness(own, following)),
+    }
+    return pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
+
+
+def fingerprint_neighbours(docs: DataFrame, group_bytes: int = GROUP_BYTES) -> DataFrame:
     """Fingerprints of every text and of its edited text, and their likeness.
 
     The edited text has its last floor(n_chars / 4) code points replaced by the first as many of the next document's (or
     all it has), in ascending order of doc_id; after the last comes the first. Returns doc_id, n_chars (code points),
     edited_sha256, fingerprint, edited_fingerprint, near_edited and near_next.
 
-    Documents go to groups of neighbouring ids of about GROUP_BYTES, and each group also gets the document that follows
-    its last. Null text reads as empty; null doc_ids come first; rows with equal doc_id are ordered by text, and equal
-    rows can't be told apart. A lone document is its own next. An empty table gives no rows.
+    Documents go to ranges of neighbours of about group_bytes, in the order of doc_id and then a hash of the text, so rows of a null
+    or repeated id are dealt to several; a range's rows stream through its task one batch at a time. Each range also
+    gets the document that begins the next one. The driver holds the first key of each range, as Spark does for any sort.
+    Null text reads as empty; null doc_ids come first; only rows equal in doc_id and text, whose order doesn't matter,
+    stay together. A lone document is its own next. An empty table gives no rows; other columns are ignored.
     """
     spark = docs.sparkSession
     ship(spark)
-    rows = docs.select("doc_id", "text")
-    total = rows.agg(F.sum(F.octet_length("text")).alias("b"), F.count("*").alias("n")).first()
-    groups = max(1, math.ceil((total["b"] or 0) / GROUP_BYTES))
-    marks = []
-    if groups > 1:
-        marks = rows.agg(F.percentile_approx("doc_id", [i / groups for i in range(1, groups)], max(10_000, 20 * groups)).alias("m")).first()["m"] or []
-    marks = sorted(set(marks))
-    number = _bucket(spark, F.col("doc_id"), marks)
-    # The first id of each group, nulls first; it also goes to the group before (the very first to the last).
-    lowest = F.min(F.struct(F.col("doc_id").isNotNull().alias("some"), "doc_id"))
-    heads = sorted((r["g"], r["m"]["doc_id"]) for r in rows.select(number.alias("g"), "doc_id").groupBy("g").agg(lowest.alias("m")).collect())
-    kept = lambda g, own: (g.cast("int").alias("g"), F.lit(own).alias("own"), F.col("doc_id").isNull().cast("int").alias("null_id"), F.coalesce("doc_id", F.lit(0)).alias("doc_id"), "text")
-    own = rows.select(*kept(number, 1))
-    before = spark.createDataFrame([(head, heads[i - 1][0]) for i, (_, head) in enumerate(heads)], "head long, to int")
-    extra = rows.join(before, F.col("doc_id").eqNullSafe(F.col("head"))).select(*kept(F.col("to"), 0))
-    schema = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
-    return own.unionByName(extra).groupBy("g").applyInPandas(_grouped(), schema)
-
-
-def _bucket(spark: SparkSession, value: Column, marks: list[int]) -> Column:
-    """Number of marks at or below value; null is 0. A balanced tree of comparisons, or for many marks a search in Arrow batches of ids."""
-    if len(marks) > 500:
-        import pandas as pd
-
-        sorted_marks = spark.sparkContext.broadcast(np.array(marks))
-
-        @F.pandas_udf("int")
-        def search(ids: pd.Series) -> pd.Series:
-            return pd.Series(np.searchsorted(sorted_marks.value, ids.to_numpy(), side="right").astype(np.int32))
-
-        return F.when(value.isNull(), F.lit(0)).otherwise(search(F.coalesce(value, F.lit(0))))
-
-    def walk(lo: int, hi: int) -> Column:
-        if lo == hi:
-            return F.lit(lo)
-        mid = (lo + hi) // 2
-        return F.when(value < F.lit(marks[mid]), walk(lo, mid)).otherwise(walk(mid + 1, hi))
-
-    return F.when(value.isNull(), F.lit(0)).otherwise(walk(0, len(marks)))
+    rows = docs.select("doc_id", "text").withColumn("h", F.xxhash64("text"))
+    order = [F.col("doc_id").isNotNull().cast("int").alias("some"), F.coalesce("doc_id", F.lit(0)).alias("id"), F.col("h")]
+    narrow = rows.select(*order, F.octet_length("text").alias("bytes"))
+    total = narrow.agg(F.sum("bytes").alias("b")).first()["b"] or 0
+    groups = max(shuffle_partitions(spark), math.ceil(total / group_bytes))
+    first = narrow.repartitionByRange(groups, "some", "id", "h").groupBy(F.spark_partition_id().alias("p")).agg(F.min(F.struct("some", "id", "h")).alias("m"))
+    marks = sorted(tuple(r["m"]) for r in first.select("m").collect())
+    if not marks:
+        return in_arrow(rows.select(F.lit(0).alias("g"), F.lit(1).alias("own"), "doc_id", "text"), _stream, _RESULT)
+    shared = spark.sparkContext.broadcast(marks)
+
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at = shared.value
+        for batch in batches:
+            keys = zip(*[batch.column(c).to_pylist() for c in ("some", "id", "h")], strict=True)
+            place = [bisect.bisect_right(at, k) - 1 for k in keys]
+            # The document that begins a range also ends the one before; the very first ends the last.
+            twice = [i for i, g in enumerate(place) if all(batch.column(c)[i].as_py() == v for c, v in zip(("some", "id", "h"), at[g], strict=True))]
+            take = pa.array([*range(len(place)), *twice], pa.int64())
+            g = [*place, *[(place[i] - 1) % len(at) for i in twice]]
+            own = [1] * len(place) + [0] * len(twice)
+            columns = {c: batch.column(c).take(take) for c in ("some", "id", "h", "doc_id", "text")}
+            columns |= {"g": pa.array(g, pa.int32()), "own": pa.array(own, pa.int32())}
+            yield pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
+
+    dealt = in_arrow(rows.select(*order, "doc_id", "text"), search, "some int, id long, h long, doc_id long, text string, g int, own int")
+    dealt = dealt.repartition(groups, "g").sortWithinPartitions("g", F.desc("own"), "some", "id", "h")
+    return in_arrow(dealt.select("g", "own", "doc_id", "text"), _stream, _RESULT)
+
+
+_RESULT = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"

@@ -118,7 +118,10 @@ def test_nearest(spark):
 def test_fingerprints(edge, none, docs):
     def check(table, rows):
         got = fingerprint.fingerprint_neighbours(table).toPandas()
-        rows = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1] or ""))
+        h = {r.doc_id if r.doc_id is not None else "none": {} for r in table.select("doc_id").distinct().collect()}
+        for r in table.select("doc_id", "text", F.xxhash64("text").alias("h")).collect():
+            h[r.doc_id if r.doc_id is not None else "none"][r.text] = r.h
+        rows = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, h[r[0] if r[0] is not None else "none"][r[1]]))
         want = Counter()
         for i, (_, text, *_) in enumerate(rows):
             a, b = text or "", rows[(i + 1) % len(rows)][1] or ""
@@ -134,6 +137,29 @@ def test_fingerprints(edge, none, docs):
     assert fingerprint.fingerprint_neighbours(none).count() == 0
 
 
+def test_fingerprints_of_long_texts_and_many_ranges(spark, monkeypatch):
+    lines = [f"line {i} of text {i * i}" for i in range(400)]
+    texts = ["\n".join(lines), "\n" * 50, "x y " * 300 + "\n" + "z", ""]
+    whole = fingerprint.fingerprints([t.encode() for t in texts])
+    monkeypatch.setattr(fingerprint, "BLOCK_BYTES", 256)
+    assert (fingerprint.fingerprints([t.encode() for t in texts]) == whole).all()
+    rows = [(None, f"null {i}") for i in range(30)] + [(7, f"seven {i % 9} words here") for i in range(30)] + [(i, f"{i} alone in here") for i in range(20, 60)]
+    table = spark.createDataFrame([(i, t, 1, 2) for i, t in rows], "doc_id long, text string, g int, own int")
+    got = fingerprint.fingerprint_neighbours(table, group_bytes=40).toPandas()
+    assert Counter(got["fingerprint"]) == Counter(fingerprint.fingerprint(t) for _, t in rows)
+    of = {}
+    for i, t in rows:
+        of.setdefault(i, []).append(t)
+    ids = sorted(of, key=lambda x: (x is not None, x or 0))
+    for n, i in enumerate(ids[:-1]):  # each id's rows follow one another in some order, and its last goes on to the next id's first
+        nexts = set(of[i]) | set(of[ids[n + 1]])
+        mine = got[got["doc_id"].isna() if i is None else got["doc_id"] == i]
+        for r in mine.itertuples():
+            text = next(t for t in of[i] if fingerprint.fingerprint(t) == r.fingerprint)
+            cut = len(text) // 4
+            assert r.edited_sha256 in {hashlib.sha256((text[: len(text) - cut] + x[:cut]).encode()).hexdigest() for x in nexts}
+
+
 def test_fingerprints_add_and_subtract():
     f = fingerprint.fingerprint
     assert f("a b\nc d\ne") == f("e\na b\nc d") != f("a b\nc d")
@@ -306,6 +332,39 @@ def test_near_duplicates(spark, edge, none, docs):
     assert seen(minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), k=3, percent=85)) == _brute_components(rows, 3, 85)
 
 
+def test_near_duplicates_of_null_and_repeated_ids(spark):
+    def text(seed, changed=()):
+        return " ".join(f"c{seed}x{i}" if i in changed else f"s{seed}w{i}" for i in range(80))
+
+    rows = [
+        (5, text(1)), (5, text(2)), (6, text(2, [40])), (None, text(3)), (None, text(3, [5])), (None, text(4)), (None, text(4)), (7, text(4, [70])), (8, text(5)), (8, text(5)),
+        (None, None), (None, ""), (9, None), (9, "one"), (10, "ONE"), (None, text(1, [1, 20, 40, 60])),
+    ]
+    table = spark.createDataFrame([(i, t, 1, 2, 3) for i, t in rows], "doc_id long, text string, node long, text_hash long, key long")
+    got = minhash.near_duplicates(table)
+    assert Counter((r.doc_id, r.n_shingles, r.component_id) for r in got.collect()) == _brute_components(rows, 5, 80)
+    groups = {}
+    for r in got.where("group_node is not null").collect():
+        groups.setdefault(r.group_node, []).append(r.doc_id)
+    assert Counter(map(len, groups.values())) == Counter([1, 2, 2, 3, 2, 2, 1])
+
+
+def test_near_duplicates_of_edited_copies(spark):
+    """Copies of one text, edited so that many pairs lie just under the similarity, beside sets that only lose shingles."""
+    rng = np.random.default_rng(9)
+    base = [f"t{x}" for x in rng.integers(0, 5000, 120)]
+    rows = []
+    for i in range(150):
+        w = list(base)
+        for at in rng.choice(120, int(rng.integers(0, 14)), replace=False):
+            w[int(at)] = f"n{int(rng.integers(0, 60))}"
+        rows.append((i, " ".join(w)))
+    rows += [(200 + i, " ".join(x for j, x in enumerate(base) if j not in set(rng.choice(120, i % 9, replace=False)))) for i in range(40)]
+    for k, percent in ((3, 85), (5, 80)):
+        got = Counter((r.doc_id, r.n_shingles, r.component_id) for r in minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), k=k, percent=percent).collect())
+        assert got == _brute_components(rows, k, percent)
+
+
 def test_components(spark):
     links = [(i, i + 1) for i in range(1, 30)] + [(50, 40), (41, 50), (60, 60)]
     got = {r.node: r.component for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
