@@ -13,6 +13,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from .common import in_arrow
 
@@ -110,7 +111,7 @@ def fit_profiles(labelled: DataFrame, max_fit: int = MAX_FIT) -> dict[str, list[
     return {lang: [g for _, g in sorted(rows)] for lang, rows in sorted(profiles.items())}
 
 
-def _predictor(profiles: dict[str, list[int]], carried: list[str]):
+def _predictor(profiles: dict[str, list[int]], carried: list[str], called: tuple[str, str]):
     names = list(profiles)
     grams = np.unique(np.array([g for p in profiles.values() for g in p], dtype=np.int64))
     rank = np.full((len(grams) + 1, len(names)), -1, dtype=np.int64)
@@ -138,7 +139,7 @@ def _predictor(profiles: dict[str, list[int]], carried: list[str]):
                 near = 1 - total.min(axis=1) / np.maximum(used * RANKS, 1)
                 pred[lo:hi] = np.where(lettered, np.array(names, dtype=object)[best], UNKNOWN)
                 score[lo:hi] = np.where(lettered, np.clip(near, 0, 1), 0)
-            columns = {c: batch.column(c) for c in carried} | {"lang_pred": pa.array(pred.tolist(), pa.string()), "score": pa.array(score)}
+            columns = {c: batch.column(c) for c in carried} | {called[0]: pa.array(pred.tolist(), pa.string()), called[1]: pa.array(score)}
             yield pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
 
     return run
@@ -149,17 +150,17 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.pmod(F.crc32(doc_id.cast("string").cast("binary")), F.lit(4)) == 2, F.lit(False))
 
 
-def identify(docs: DataFrame, profiles: dict[str, list[int]], carry: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+def identify(docs: DataFrame, profiles: dict[str, list[int]], carry: tuple[str, ...] = ("doc_id",), names: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
     """lang_pred and score (1 for identical ranks, 0 for nothing in common) of every whole text, with the columns in carry.
 
     Only the text decides. Without a letter (or text, or any profile) the language is `und` and the score 0. Equal
-    distances go to the first language by name. Columns named like results are replaced.
+    distances go to the first language by name. names are what the two results are called; columns of carry with these
+    names are replaced. A text of any length is counted in pieces.
     """
-    carry = tuple(c for c in carry if c not in ("lang_pred", "score"))
+    carry = tuple(c for c in carry if c not in names)
     rows = docs.select(*dict.fromkeys([*carry, "text"]))
-    types = dict(rows.dtypes)
-    schema = ", ".join([*(f"`{c}` {types[c]}" for c in carry), "lang_pred string", "score double"])
-    return in_arrow(rows, _predictor(profiles, list(carry)), schema)
+    schema = StructType([*(rows.schema[c] for c in carry), StructField(names[0], StringType()), StructField(names[1], DoubleType())])
+    return in_arrow(rows, _predictor(profiles, list(carry), names), schema)
 
 
 def learn(docs: DataFrame, max_fit: int = MAX_FIT) -> dict[str, list[int]]:

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import materialize
+from .common import materialize, unused
 
 #: Bits of the hash that each histogram resolves, and how often the boundary bucket is refined.
 BUCKET_BITS = 12
@@ -119,7 +119,8 @@ def mix_sources(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), share:
 
 def mixed_documents(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), share: float = 1.5, most: float = 2.0, seed: int = 0) -> DataFrame:
     """docs with each row as often as mix_sources takes it. Texts aren't shuffled: the cuts, a row per source, are joined to them."""
-    cuts = _cuts(_sized(docs, seed), weights, share, most).select("s", "times", "low")
-    times = (F.col("_t") + (F.col("_h") < F.col("_low")).cast("long")).cast("int")
-    marked = docs.withColumn("_h", _hash(seed)).join(cuts.select(F.col("s").alias("_s"), F.col("times").alias("_t"), F.col("low").alias("_low")), F.col("source").eqNullSafe(F.col("_s")))
-    return marked.where(times > 0).withColumn("_copy", F.explode(F.sequence(F.lit(1), times))).select(*docs.columns)
+    s, t, low, h, copy = unused(docs, "_s", "_t", "_low", "_h", "_copy")
+    cuts = _cuts(_sized(docs, seed), weights, share, most).select(F.col("s").alias(s), F.col("times").alias(t), F.col("low").alias(low))
+    times = (F.col(t) + (F.col(h) < F.col(low)).cast("long")).cast("int")
+    marked = docs.withColumn(h, _hash(seed)).join(cuts, F.col("source").eqNullSafe(F.col(s)))
+    return marked.where(times > 0).withColumn(copy, F.explode(F.sequence(F.lit(1), times))).select(*docs.columns)

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from .common import _WORDS, _WORDS2, Words, grams, in_arrow, int_lists, materialize, mix, rows_of_ids, text_blocks
+from .common import _WORDS, _WORDS2, BROADCAST_ROWS, Words, grams, in_arrow, int_lists, materialize, mix, rows_of_ids, text_blocks, unused
 
 #: Words of a minimiser; a window of w words has w - SEED + 1 of them.
 SEED = 8
@@ -163,7 +163,8 @@ def find_repeats(docs: DataFrame, window: int) -> Repeats:
 
     # 1. minimisers that occur again
     again = edges.groupBy("seed").agg(F.count("*").alias("n"), F.min("c1").alias("x"), F.max("c1").alias("y")).where("n > 1").select("seed", (F.col("x") != F.col("y")).alias("several"))
-    met = materialize(edges.join(again, "seed"), "sub-met")
+    # Written, so that the join below deals a frequent minimiser's edges to several tasks.
+    met = materialize(edges.join(materialize(again, "sub-again"), "seed"), "sub-met")
     # 2. whole super-edges that occur again, and windows of one super-edge of each kind
     kinds = met.where("several").groupBy("seed", "c1").agg(F.count("*").alias("c"), F.min(F.struct("d", "t1", "start", "windows")).alias("who"))
     kinds = materialize(kinds, "sub-kinds")
@@ -259,15 +260,19 @@ def _cut(docs: DataFrame, spans: DataFrame, with_text: bool) -> DataFrame:
     return in_arrow(grouped.join(texts, "d").select("d", "t1", "text", "spans"), _cutter(with_text), "d long, t1 long, n_removed long, kept string")
 
 
-def _with_t1(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows with the hash of their text's words, as the scan has it: tells rows that share an id apart."""
-    for batch in batches:
-        found = [np.zeros(0, np.int64)]
-        for _, _, data, offsets in text_blocks(batch.column("text")):
-            words = Words(data, offsets)
-            t1, _ = _Sequence(words).hashes(words.bound[:-1], words.bound[1:])
-            found.append(t1.view(np.int64))
-        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(np.concatenate(found))], names=[*batch.schema.names, "_t1"])
+def _with_t1(name: str):
+    """Rows with the hash of their text's words, as the scan has it, in a further column: tells rows that share an id apart."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [np.zeros(0, np.int64)]
+            for _, _, data, offsets in text_blocks(batch.column("text")):
+                words = Words(data, offsets)
+                t1, _ = _Sequence(words).hashes(words.bound[:-1], words.bound[1:])
+                found.append(t1.view(np.int64))
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(np.concatenate(found))], names=[*batch.schema.names, name])
+
+    return run
 
 
 _EMPTY_SHA = hashlib.sha256(b"").hexdigest()
@@ -303,10 +308,12 @@ def remove_repeats(docs: DataFrame, window: int = 35) -> DataFrame:
     rows = found.scan.select("d", "t1", "t2", "n_words")
     gone = rows.join(found.whole.select("t1", "t2", "n_words"), ["t1", "t2", "n_words"], "left_semi").where(F.col("n_words") >= window).select("d", "t1", F.lit("").alias("kept"))
     changed = cut.select("d", "t1", "kept").union(gone).dropDuplicates(["d", "t1"])
-    changed = materialize(changed.select("d", F.col("t1").alias("_t1"), F.col("kept").alias("_kept")), "sub-changed")
-    ids = changed.select("d").distinct()
-    small = ids.count() <= 20_000
-    out = _keyed(docs).join(F.broadcast(ids) if small else ids, "d", "left_anti").drop("d")
-    near = rows_of_ids(_keyed(docs), ids, "d")
-    hit = in_arrow(near, _with_t1, StructType([*near.schema.fields, StructField("_t1", LongType())])).join(changed, ["d", "_t1"], "left")
-    return out.unionByName(hit.withColumn("text", F.when(F.col("text").isNotNull(), F.coalesce("_kept", "text"))).select(*docs.columns))
+    d, t1, kept = unused(docs, "_d", "_t1", "_kept")
+    changed = materialize(changed.select(F.col("d").alias(d), F.col("t1").alias(t1), F.col("kept").alias(kept)), "sub-changed")
+    ids = changed.select(d).distinct()
+    small = ids.count() <= BROADCAST_ROWS
+    keyed = docs.withColumn(d, F.coalesce("doc_id", F.lit(NO_ID)))
+    out = keyed.join(F.broadcast(ids) if small else ids, d, "left_anti").select(*docs.columns)
+    near = keyed.join(F.broadcast(ids) if small else ids, d, "left_semi")
+    hit = in_arrow(near, _with_t1(t1), StructType([*near.schema.fields, StructField(t1, LongType())])).join(changed, [d, t1], "left")
+    return out.unionByName(hit.withColumn("text", F.when(F.col("text").isNotNull(), F.coalesce(kept, "text"))).select(*docs.columns))
