@@ -2,10 +2,16 @@
 
 from __future__ import annotations
 
+import math
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .windows import log_factorials
+#: Terms of the hypergeometric sum that are held at once.
+STEP = 1 << 20
+_SMALL = np.array([math.lgamma(i + 1) for i in range(32)])
 
 
 def lift(a: Column, b: Column, c: Column, d: Column) -> Column:
@@ -13,13 +19,31 @@ def lift(a: Column, b: Column, c: Column, d: Column) -> Column:
     return F.when((a + b > 0) & (c + d > 0) & (c > 0), (a / (a + b)) / (c / (c + d)))
 
 
-def fisher(a: Column, b: Column, c: Column, d: Column, most: int) -> Column:
-    """Two-sided p of a 2 x 2 table whose total is at most `most`: the sum over tables no likelier, by a table of log factorials."""
-    table = F.lit(log_factorials(most))
-    ln = lambda x: F.get(table, x.cast("int"))
+def log_factorial(x: np.ndarray) -> np.ndarray:
+    """Stirling's series; exact for small numbers."""
+    x = np.asarray(x, dtype=np.float64)
+    y = np.maximum(x, 32)
+    series = y * np.log(y) - y + 0.5 * np.log(2 * np.pi * y) + 1 / (12 * y) - 1 / (360 * y**3) + 1 / (1260 * y**5)
+    return np.where(x < 32, _SMALL[np.minimum(x, 31).astype(int)], series)
+
+
+def fisher_p(a: int, b: int, c: int, d: int) -> float:
+    """Two-sided p of a 2 x 2 table: the sum over tables with its margins that are no likelier."""
     r1, r2, k, n = a + b, c + d, a + c, a + b + c + d
-    fixed = ln(r1) + ln(r2) + ln(k) + ln(n - k) - ln(n)
-    chance = lambda x: fixed - ln(x) - ln(r1 - x) - ln(k - x) - ln(r2 - k + x)
-    low, high = F.greatest(F.lit(0), k - r2), F.least(r1, k)
-    total = F.aggregate(F.sequence(low, high), F.lit(0.0), lambda acc, x: acc + F.when(chance(x) <= chance(a) + F.lit(1e-9), F.exp(chance(x))).otherwise(F.lit(0.0)))
-    return F.least(total, F.lit(1.0))
+    fixed = float(log_factorial(r1) + log_factorial(r2) + log_factorial(k) + log_factorial(n - k) - log_factorial(n))
+    chance = lambda x: fixed - log_factorial(x) - log_factorial(r1 - x) - log_factorial(k - x) - log_factorial(r2 - k + x)
+    seen, total = float(chance(np.array(a))), 0.0
+    for lo in range(max(0, k - r2), min(r1, k) + 1, STEP):
+        x = chance(np.arange(lo, min(lo + STEP, min(r1, k) + 1)))
+        total += float(np.exp(x[x <= seen + 1e-9]).sum())
+    return min(total, 1.0)
+
+
+def fisher(a: Column, b: Column, c: Column, d: Column) -> Column:
+    """fisher_p of each row, in Arrow batches; there are as many rows as tables."""
+
+    @F.pandas_udf("double")
+    def run(a: pd.Series, b: pd.Series, c: pd.Series, d: pd.Series) -> pd.Series:
+        return pd.Series([fisher_p(*map(int, x)) for x in zip(a, b, c, d, strict=True)], dtype="float64")
+
+    return run(a, b, c, d)

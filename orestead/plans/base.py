@@ -23,22 +23,24 @@ class Tables:
     @property
     def items(self) -> DataFrame:
         """Priced positions: domain, inn, name, section, price, pos."""
-        li, o, p = self.lineitem, self.orders, self.part
+        return self._items(self.part)
+
+    def _items(self, p: DataFrame, *further: str) -> DataFrame:
+        li, o = self.lineitem, self.orders
         return (
             li.join(o, li.l_orderkey == o.o_orderkey).join(p, li.l_partkey == p.p_partkey)
             .select(
                 F.col("l_suppkey").alias("domain"), F.col("o_custkey").alias("inn"), F.col("p_name").alias("name"), F.col("p_type").alias("section"),
-                F.col("l_extendedprice").alias("price"), ((F.col("l_orderkey") * 10 + F.col("l_linenumber")) * 1000000000 + F.col("l_partkey") * 10000 + F.col("l_suppkey") % 10000).alias("pos"), F.col("p_brand").alias("brand"),
+                F.col("l_extendedprice").alias("price"), ((F.col("l_orderkey") * 10 + F.col("l_linenumber")) * 1000000000 + F.col("l_partkey") * 10000 + F.col("l_suppkey") % 10000).alias("pos"), F.col("p_brand").alias("brand"), *further,
             )
         )
 
     @property
     def directed(self) -> DataFrame:
-        """items with a direction by ordered rules; each distinct (name, section) is classified once."""
-        from ..operators.rules import classify_distinct
+        """items with a direction by ordered rules. They read a part's columns only, so parts are classified before the join."""
         from .rulesets import direction
 
-        return classify_distinct(self.items, ["name", "section"], "direction", direction(F.col("name"), F.col("section")))
+        return self._items(self.part.withColumn("direction", direction(F.col("p_name"), F.col("p_type"))), "direction")
 
     @property
     def licences(self) -> DataFrame:
@@ -61,6 +63,8 @@ ITEMS = """items AS (SELECT l_suppkey AS domain, o_custkey AS inn, p_name AS nam
 DIRECTION = """CASE WHEN regexp_matches(name, '(ring|rod)') AND NOT regexp_matches(name, '^old') THEN 'Round'
  WHEN regexp_matches(name, 'plate') THEN 'Flat' WHEN regexp_matches(name, 'gear') AND NOT regexp_matches(name, 'small') THEN 'Toothed'
  WHEN regexp_matches(name, '^(hot|cold)') THEN 'Thermal' WHEN regexp_matches(name, 'bolt') THEN 'Service'
+ WHEN regexp_matches(name, 'anvil') AND NOT regexp_matches(name, '^new') THEN 'Heavy' WHEN regexp_matches(name, 'gizmo') THEN 'Clever'
+ WHEN regexp_matches(name, 'widget') AND NOT regexp_matches(name, '^(old|blue)') THEN 'Fitted'
  WHEN section = 'PROMO' THEN 'Promotion' END"""
 DIRECTED = f"{ITEMS}, directed AS (SELECT *, {DIRECTION} AS direction FROM items)"
 LICENCES = "licences AS (SELECT c_custkey AS inn, c_mktsegment AS licence FROM customer)"

@@ -9,9 +9,12 @@ from ..operators import windows
 from .base import Tables, query
 
 
-@query("win_saturation")
+@query("win_saturation", """WITH n AS (SELECT event_id, row_number() OVER (ORDER BY event_id) AS seq, (row_number() OVER (PARTITION BY user_id ORDER BY event_id) = 1)::INT AS new, count(*) OVER () AS total FROM events),
+ z AS (SELECT DISTINCT total, greatest(50, floor(0.25 * total)::BIGINT) AS size FROM n), u AS (SELECT seq, sum(new) OVER (ORDER BY seq) AS upto FROM n),
+ r AS (SELECT a.seq, a.upto - coalesce(b.upto, 0) AS recent FROM u a CROSS JOIN z LEFT JOIN u b ON b.seq = a.seq - size)
+ SELECT min(seq) FILTER (WHERE seq >= greatest(size, floor(0.6 * total)) AND recent < 3 AND total >= 200) AS at_query, size AS window FROM r, z GROUP BY size""")
 def saturation(t: Tables) -> DataFrame:
-    """The discovery loop's stop: tested against the sequential definition."""
+    """The discovery loop's stop; also tested against the sequential definition."""
     first = (F.row_number().over(Window.partitionBy("user_id").orderBy("event_id")) == 1).cast("int")
     e = t.events.select("event_id", first.alias("new"))
     return windows.saturation(e, "event_id", "new", e.count())

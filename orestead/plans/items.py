@@ -130,11 +130,18 @@ def domain_check(t: Tables) -> DataFrame:
 # --- aggregates ---------------------------------------------------------------------------
 
 
-@query("agg_quality_gate", f"""WITH {ITEMS} SELECT domain, count(*) AS n, count(*) FILTER (WHERE price >= 10000) AS priced, count(DISTINCT lower(name)) AS names, median(length(name)) AS mid_length,
- count(*) >= 5 AND count(*) FILTER (WHERE price >= 10000) * 10 >= count(*) * 7 AND median(length(name)) >= 8 AND (count(*) - count(DISTINCT lower(name))) * 100 <= count(*) * 90 AS passed FROM items GROUP BY domain""")
+@query("agg_quality_gate", f"""WITH {ITEMS}, a AS (SELECT domain, count(*) AS n, count(*) FILTER (WHERE price >= 1000) AS priced, count(*) FILTER (WHERE regexp_matches(name || ' ' || brand, '^new gizmo Brand#1')) AS ui,
+ count(DISTINCT lower(name || ' ' || brand)) AS names, median(length(name || ' ' || brand)) AS mid_length, count(*) FILTER (WHERE regexp_matches(name, '(ring|rod|gear)$')) AS med FROM items GROUP BY domain)
+ SELECT *, n >= 5 AND priced * 10 >= n * 7 AND ui * 100 <= n * 2 AND mid_length >= 15 AND (n - names) * 10 <= n * 6 AND med * 10 > n * 2 AS passed FROM a""")
 def quality_gate(t: Tables) -> DataFrame:
-    a = t.items.groupBy("domain").agg(F.count("*").alias("n"), F.count_if(F.col("price") >= 10000).alias("priced"), F.countDistinct(F.lower("name")).alias("names"), F.median(F.length("name")).alias("mid_length"))
-    passed = (F.col("n") >= 5) & (F.col("priced") * 10 >= F.col("n") * 7) & (F.col("mid_length") >= 8) & ((F.col("n") - F.col("names")) * 100 <= F.col("n") * 90)
+    """Six tests of a domain's items: enough of them, priced, few interface labels, long names, few repeats, enough of the trade."""
+    name = F.concat("name", F.lit(" "), "brand")
+    a = t.items.select("domain", "price", name.alias("name"), F.col("name").rlike("(ring|rod|gear)$").alias("med")).groupBy("domain").agg(
+        F.count("*").alias("n"), F.count_if(F.col("price") >= 1000).alias("priced"), F.count_if(F.col("name").rlike("^new gizmo Brand#1")).alias("ui"),
+        F.countDistinct(F.lower("name")).alias("names"), F.median(F.length("name")).alias("mid_length"), F.count_if("med").alias("med"),
+    )
+    n = F.col("n")
+    passed = (n >= 5) & (F.col("priced") * 10 >= n * 7) & (F.col("ui") * 100 <= n * 2) & (F.col("mid_length") >= 15) & ((n - F.col("names")) * 10 <= n * 6) & (F.col("med") * 10 > n * 2)
     return a.withColumn("passed", passed)
 
 
@@ -224,15 +231,14 @@ def diversified(t: Tables) -> DataFrame:
 @query("batch_by_freq", f"WITH {ITEMS}, n AS (SELECT name || '/' || brand AS name, count(*) AS n FROM items GROUP BY 1) SELECT name, n, row_number() OVER (ORDER BY n DESC, name) AS pos, ((row_number() OVER (ORDER BY n DESC, name) - 1) // 40)::INT AS batch FROM n")
 def batch_by_freq(t: Tables) -> DataFrame:
     n = t.items.groupBy(F.concat("name", F.lit("/"), "brand").alias("name")).agg(F.count("*").alias("n"))
-    return windows.batches(n, [F.desc("n"), F.col("name")], 40).withColumn("pos", F.col("pos").cast("long"))
+    return windows.batches(n, [-F.col("n"), F.col("name")], 40)
 
 
-@query("top_priority_null_last", "SELECT c_custkey, row_number() OVER (ORDER BY c_mktsegment, v DESC NULLS LAST, c_name) AS pos FROM (SELECT *, CASE WHEN c_custkey % 5 <> 0 THEN c_acctbal END AS v FROM customer) QUALIFY pos <= 200")
+@query("top_priority_null_last", "SELECT c_custkey, row_number() OVER (ORDER BY c_mktsegment, v DESC NULLS LAST, c_name) AS pos FROM (SELECT *, CASE WHEN c_custkey % 5 <> 0 THEN c_acctbal END AS v FROM customer) ")
 def priority(t: Tables) -> DataFrame:
     v = F.when(F.col("c_custkey") % 5 != 0, F.col("c_acctbal"))
-    order = [F.col("c_mktsegment"), F.col("v").desc_nulls_last(), F.col("c_name")]
-    top = t.customer.withColumn("v", v).orderBy(*order).limit(200)
-    return top.select("c_custkey", F.row_number().over(Window.orderBy(*order)).cast("long").alias("pos"))
+    rows = t.customer.select("c_custkey", "c_mktsegment", F.coalesce(-v, F.lit(float("inf"))).alias("v"), "c_name")
+    return windows.numbered(rows, [F.col("c_mktsegment"), F.col("v"), F.col("c_name")], "pos").select("c_custkey", "pos")
 
 
 @query("dedup_prefer_section", f"""WITH {ITEMS}, x AS (SELECT domain, name, floor(price / 10000)::BIGINT AS p, pos, CASE WHEN pos % 3 <> 0 THEN section END AS section FROM items)
@@ -308,10 +314,13 @@ def finalise(t: Tables) -> DataFrame:
     return t.orders.groupBy("o_custkey").agg(F.bool_or(F.col("o_orderstatus") == "P").alias("p")).where("not p").select("o_custkey")
 
 
-@query("st_rerun_guard", f"""WITH {ITEMS}, a AS (SELECT domain, count(*) FILTER (WHERE pos % 2 = 0) AS old, count(*) FILTER (WHERE pos % 2 = 1) AS new FROM items GROUP BY domain) SELECT domain, CASE WHEN new < old THEN old ELSE new END AS kept, new < old AS kept_old FROM a""")
+@query("st_rerun_guard", f"""WITH {ITEMS}, a AS (SELECT *, count(*) FILTER (WHERE pos % 2 = 0) OVER w AS old, count(*) FILTER (WHERE pos % 2 = 1) OVER w AS new FROM items WINDOW w AS (PARTITION BY domain))
+ SELECT domain, pos, price FROM a WHERE (new < old) = (pos % 2 = 0)""")
 def rerun_guard(t: Tables) -> DataFrame:
-    a = t.items.groupBy("domain").agg(F.count_if(F.col("pos") % 2 == 0).alias("old"), F.count_if(F.col("pos") % 2 == 1).alias("new"))
-    return a.select("domain", F.greatest("old", "new").alias("kept"), (F.col("new") < F.col("old")).alias("kept_old"))
+    """A domain's rows of the rerun, unless it found fewer than there were: then the old rows stay."""
+    rows = t.items.select("domain", "pos", "price", (F.col("pos") % 2 == 1).alias("fresh"))
+    per = rows.groupBy("domain").agg((F.count_if("fresh") >= F.count_if(~F.col("fresh"))).alias("take"))
+    return rows.join(per, "domain").where("fresh = take").select("domain", "pos", "price")
 
 
 @query("st_reparse", "SELECT l_orderkey, l_linenumber, coalesce(n, l_extendedprice) AS price, n IS NOT NULL AND n <> l_extendedprice AS changed FROM (SELECT *, CASE WHEN l_linenumber % 3 = 0 THEN NULL WHEN l_linenumber % 3 = 1 THEN l_extendedprice ELSE l_quantity END AS n FROM lineitem)")

@@ -147,7 +147,7 @@ def ordered_dedup(t: Tables) -> DataFrame:
     return p.groupBy("host").agg(F.array_join(F.sort_array(F.collect_set("path")), " ").alias("paths"))
 
 
-@query("cls_row_type", r"SELECT doc_id, CASE WHEN regexp_matches(substr(text, 1, 40), '[#$%&*]{2}') THEN 'junk' WHEN n_chars < 60 THEN 'auxiliary' WHEN lang = 'en' THEN 'service' ELSE 'other' END AS kind FROM documents")
+@query("cls_row_type", r"SELECT doc_id, CASE WHEN regexp_matches(text, '[#$%&*]{2}') THEN 'junk' WHEN n_chars < 60 THEN 'auxiliary' WHEN lang = 'en' THEN 'service' ELSE 'other' END AS kind FROM documents")
 def row_type(t: Tables) -> DataFrame:
-    kind = rules.first_rule(F.substring("text", 1, 40), [rules.Rule("junk", "[#$%&*]{2}")], F.when(F.col("n_chars") < 60, F.lit("auxiliary")).when(F.col("lang") == "en", F.lit("service")).otherwise(F.lit("other")))
+    kind = rules.first_rule(F.col("text"), [rules.Rule("junk", "[#$%&*]{2}")], F.when(F.col("n_chars") < 60, F.lit("auxiliary")).when(F.col("lang") == "en", F.lit("service")).otherwise(F.lit("other")))
     return t.documents.select("doc_id", kind.alias("kind"))

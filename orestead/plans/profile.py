@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..operators import joins, rules, stats, windows
+from ..shipping import ship
 from .base import DIRECTED, ITEMS, LICENCES, SITE_DIRS, Tables, query
 from .rulesets import SERVICE
 
@@ -51,13 +52,13 @@ query("cls_composition", COMPOSITION + " SELECT * FROM comp")(composition)
 
 
 def segments(t: Tables) -> DataFrame:
-    """Companies by the number of clinical directions in their composition: none, 1-2, 3-4, more."""
+    """Companies by the number of clinical directions in their composition: none, 1-2, 3-6, more."""
     inside = F.col("status").isin("confirmed", "by price") & ~F.col("direction").isin(*SERVICE)
     per = composition(t).groupBy("inn").agg(F.countDistinct(F.when(inside, F.col("direction"))).alias("k"))
-    return per.withColumn("segment", F.when(F.col("k") == 0, "none").when(F.col("k") <= 2, "mono").when(F.col("k") <= 4, "oligo").otherwise("multi"))
+    return per.withColumn("segment", F.when(F.col("k") == 0, "none").when(F.col("k") <= 2, "mono").when(F.col("k") <= 6, "oligo").otherwise("multi"))
 
 
-SEGMENTS = COMPOSITION + """, seg AS (SELECT inn, k, CASE WHEN k = 0 THEN 'none' WHEN k <= 2 THEN 'mono' WHEN k <= 4 THEN 'oligo' ELSE 'multi' END AS segment FROM
+SEGMENTS = COMPOSITION + """, seg AS (SELECT inn, k, CASE WHEN k = 0 THEN 'none' WHEN k <= 2 THEN 'mono' WHEN k <= 6 THEN 'oligo' ELSE 'multi' END AS segment FROM
  (SELECT inn, count(DISTINCT CASE WHEN status IN ('confirmed', 'by price') AND direction <> 'Service' THEN direction END) AS k FROM comp GROUP BY inn))"""
 
 
@@ -78,29 +79,33 @@ query("rep_segment_per_company", SEGMENTS + " SELECT * FROM seg")(segments)
  SELECT direction, a, b, c, d, floor(1000 * CASE WHEN a + b > 0 AND c + d > 0 AND c > 0 THEN (a / (a + b)) / (c / (c + d)) END + 1e-6)::BIGINT AS lift_milli FROM cells""",
 )
 def lift_fisher(t: Tables) -> DataFrame:
-    inside = composition(t).where(F.col("status").isin("confirmed", "by price")).select("inn", "direction").distinct()
-    seg = segments(t)
-    total = seg.agg(F.count_if(F.col("segment") == "multi").alias("m"), F.count_if(F.col("segment") != "multi").alias("o"))
-    every = composition(t).select("direction").distinct()
-    hits = inside.join(seg, "inn").groupBy("direction").agg(F.count_if(F.col("segment") == "multi").alias("a"), F.count_if(F.col("segment") != "multi").alias("c"))
-    cells = every.join(hits, "direction", "left").fillna(0, ["a", "c"]).join(F.broadcast(total), F.lit(True))
+    """Tables of direction by segment. One pass: a company carries its directions, a null one among them counts the companies."""
+    inside = F.col("status").isin("confirmed", "by price")
+    clinical = F.countDistinct(F.when(inside & ~F.col("direction").isin(*SERVICE), F.col("direction")))
+    per = composition(t).groupBy("inn").agg(clinical.alias("k"), F.collect_set(F.struct("direction", inside.alias("inside"))).alias("dirs"))
+    none = F.struct(F.lit(None).cast("string").alias("direction"), F.lit(True).alias("inside"))
+    rows = per.select((F.col("k") > 6).alias("multi"), F.explode(F.array_append("dirs", none)).alias("d"))
+    cells = rows.groupBy("d.direction").agg(F.count_if(F.col("multi") & F.col("d.inside")).alias("a"), F.count_if(~F.col("multi") & F.col("d.inside")).alias("c"))
+    all_of = lambda c: F.max(F.when(F.col("direction").isNull(), F.col(c))).over(Window.partitionBy())  # noqa: E731  one row per direction
+    cells = cells.withColumn("m", all_of("a")).withColumn("o", all_of("c")).where("direction is not null")
     cells = cells.select("direction", "a", (F.col("m") - F.col("a")).alias("b"), "c", (F.col("o") - F.col("c")).alias("d"))
     return cells.withColumn("lift_milli", F.floor(1000 * stats.lift(*[F.col(x) for x in "abcd"]) + 1e-6))
 
 
 @query("agg_fisher_p")
 def fisher_p(t: Tables) -> DataFrame:
-    """Fisher's p of each direction's table; SQL has no hypergeometric sum, so it is tested against a direct one."""
-    cells = lift_fisher(t).drop("lift_milli")
-    most = t.customer.count()
-    return cells.withColumn("p", F.round(stats.fisher(*[F.col(x) for x in "abcd"], most), 4))
+    """Fisher's p of each direction's table and what it says; SQL has no hypergeometric sum, so it is tested against a direct one."""
+    ship(t.spark)
+    cells = lift_fisher(t).withColumn("p", F.round(stats.fisher(*[F.col(x) for x in "abcd"]), 4))
+    says = F.when(F.col("lift_milli").isNull() | (F.col("p") >= 0.05), "chance").when(F.col("lift_milli") > 1000, "more").otherwise("less")
+    return cells.withColumn("verdict", says).drop("lift_milli")
 
 
 @query("agg_quantiles_floor", f"""WITH {DIRECTED}, v AS (SELECT inn, direction, list_sort(list(price)) AS l FROM directed WHERE direction IS NOT NULL AND price <> 0 GROUP BY ALL)
  SELECT inn, direction, len(l)::BIGINT AS n, l[least(floor(len(l) * 0.25)::BIGINT, len(l) - 1) + 1] AS p25, l[least(floor(len(l) * 0.75)::BIGINT, len(l) - 1) + 1] AS p75, l[-1] AS top FROM v""")
 def quantiles(t: Tables) -> DataFrame:
     rows = t.directed.where("direction is not null and price <> 0")
-    return rows.groupBy("inn", "direction").agg(F.count("*").alias("n"), windows.floor_quantile("price", 0.25).alias("p25"), windows.floor_quantile("price", 0.75).alias("p75"), F.max("price").alias("top"))
+    return windows.floor_quantiles(rows, ["inn", "direction"], "price", {"p25": 0.25, "p75": 0.75})
 
 
 @query("agg_combos", SEGMENTS + """, x AS (SELECT DISTINCT inn, direction FROM comp WHERE status IN ('confirmed', 'by price'))
@@ -182,16 +187,18 @@ def maturity(t: Tables) -> DataFrame:
     return long.select("inn", "model", "hits", "nf", "lvl", (F.row_number().over(best) == 1).alias("lead"))
 
 
-@query("cls_dental_override", f"""WITH {DIRECTED}, p AS (SELECT inn, count(*) FILTER (WHERE direction = 'Toothed') AS k, count(*) FILTER (WHERE direction IS NOT NULL) AS n FROM directed GROUP BY inn)
- SELECT inn, CASE WHEN k * 4 >= n AND direction IN ('Flat', 'Thermal') THEN 'Toothed' ELSE direction END AS direction, count(*) AS n, count(*) FILTER (WHERE k * 4 >= n AND direction IN ('Flat', 'Thermal')) AS moved
- FROM directed JOIN p USING (inn) WHERE direction IS NOT NULL GROUP BY 1, 2""".replace("count(*) AS n, count(*) FILTER (WHERE k * 4 >= n AND", "count(*) AS n, count(*) FILTER (WHERE k * 4 >= p.n AND").replace("CASE WHEN k * 4 >= n AND", "CASE WHEN k * 4 >= p.n AND"))
+@query("cls_dental_override", f"""WITH {DIRECTED}, {LICENCES}, p AS (SELECT inn, count(*) FILTER (WHERE direction = 'Toothed') AS k, count(*) AS total FROM directed WHERE direction IS NOT NULL GROUP BY inn),
+ m AS (SELECT d.inn, direction, (k * 2 >= total OR coalesce(licence = 'MACHINERY', false)) AND direction IN ('Flat', 'Thermal', 'Heavy', 'Fitted') AS moved FROM directed d JOIN p USING (inn) LEFT JOIN licences USING (inn) WHERE direction IS NOT NULL)
+ SELECT inn, CASE WHEN moved THEN 'Toothed' ELSE direction END AS direction, count(*) AS n, count(*) FILTER (WHERE moved) AS moved FROM m GROUP BY 1, 2""")
 def dental_override(t: Tables) -> DataFrame:
-    """Where one direction dominates a company, others that only look alike are rewritten to it."""
-    rows = t.directed.where("direction is not null")
-    per = rows.groupBy("inn").agg(F.count_if(F.col("direction") == "Toothed").alias("k"), F.count("*").alias("all"))
-    moved = (F.col("k") * 4 >= F.col("all")) & F.col("direction").isin("Flat", "Thermal")
-    out = rows.join(per, "inn").withColumn("moved", moved).withColumn("direction", F.when(moved, "Toothed").otherwise(F.col("direction")))
-    return out.groupBy("inn", "direction").agg(F.count("*").alias("n"), F.count_if("moved").alias("moved"))
+    """Where one direction has half of a company's positions, or its licence is for that alone, four that look alike are rewritten to it."""
+    rows = t.directed.where("direction is not null").groupBy("inn", "direction").agg(F.count("*").alias("n"))
+    mine = Window.partitionBy("inn")
+    share = F.sum(F.when(F.col("direction") == "Toothed", F.col("n")).otherwise(0)).over(mine) * 2 >= F.sum("n").over(mine)
+    rows = rows.withColumn("dental", share).join(t.licences, "inn", "left")
+    moved = (F.col("dental") | F.coalesce(F.col("licence") == "MACHINERY", F.lit(False))) & F.col("direction").isin("Flat", "Thermal", "Heavy", "Fitted")
+    rows = rows.withColumn("moved", moved).withColumn("direction", F.when(moved, "Toothed").otherwise(F.col("direction")))
+    return rows.groupBy("inn", "direction").agg(F.sum("n").alias("n"), F.sum(F.when(F.col("moved"), F.col("n")).otherwise(0)).alias("moved"))
 
 
 @query("win_profile_share", f"WITH {DIRECTED}, c AS (SELECT inn, direction, count(*) AS n FROM directed WHERE direction IS NOT NULL GROUP BY ALL) SELECT *, (n * 10000 // sum(n) OVER (PARTITION BY inn))::BIGINT AS share_bp FROM c")

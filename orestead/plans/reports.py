@@ -81,12 +81,27 @@ def token_overlap(t: Tables) -> DataFrame:
     return pairs.groupBy("a").agg(F.min("b").alias("b"), F.count("*").alias("n"))
 
 
-@query("ex_items_text")
+PRICE_LIST = ("ОБЩИЕ УСЛУГИ\nПриём врача {} — 1 {} руб.\nУдаление от 900 руб.\nМассаж спины общий\n2 000 ₽\nAB12\nАнализ крови клинический\nс забором\n4 {} руб.\n--\n500 ₽\n"
+ "г. Самара, ул. Ленина, д. 5\n700 ₽\nУЗИ > СЕРДЦЕ\nВведение препарата;16\n000 ₽")
+
+
+@query("ex_items_text", """WITH s AS (SELECT s_suppkey, 'врача ' || translate(s_name, '0123456789#', 'абвгдежзик') AS who, lpad((s_suppkey % 900 + 100)::VARCHAR, 3, '0') AS n FROM supplier), b AS (SELECT 'ОБЩИЕ УСЛУГИ' AS g)
+ SELECT s_suppkey, section, code, name, price_raw, price_value, 'RUB' AS currency FROM (
+ SELECT s_suppkey, g AS section, '' AS code, 'Приём ' || who AS name, '1 ' || n || ' руб.' AS price_raw, 1000.0 + n::DOUBLE AS price_value FROM s, b
+ UNION ALL SELECT s_suppkey, g, '', 'Удаление', 'от 900 руб.', NULL FROM s, b
+ UNION ALL SELECT s_suppkey, g, '', 'Массаж спины общий', '2 000 ₽', 2000 FROM s, b
+ UNION ALL SELECT s_suppkey, g, 'AB12', 'Анализ крови клинический, с забором', '4 ' || n || ' руб.', 4000.0 + n::DOUBLE FROM s, b
+ UNION ALL SELECT s_suppkey, g || ' · филиал: г. Самара, ул. Ленина, д. 5', '', 'Анализ крови клинический, с забором', '700 ₽', 700 FROM s, b
+ UNION ALL SELECT s_suppkey, 'УЗИ > СЕРДЦЕ', '', 'Введение препарата', '16 000 ₽', 16000 FROM s)""")
 def items_text(t: Tables) -> DataFrame:
-    """The price-text fold over each supplier's list, and the repair and serial checks behind it."""
-    lines = F.concat(F.lit("ОБЩИЕ УСЛУГИ\nПриём врача "), F.col("s_name"), F.lit(" — 1 "), F.lpad((F.col("s_suppkey") % 900 + 100).cast("string"), 3, "0"), F.lit(" руб.\nУдаление от 900 руб.\nМассаж спины общий\n2 000 ₽"))
-    items = extraction.extract_items(t.supplier.select("s_suppkey", lines.alias("body")), "body", ["s_suppkey"])
-    return extraction.drop_serials(extraction.repair_thousands(items), ["s_suppkey"], "pos", "price_value")
+    """Items of each supplier's price list, with the repair of split numbers and the check for serials behind it."""
+    who = F.translate("s_name", "0123456789#", "абвгдежзик")
+    n = F.lpad((F.col("s_suppkey") % 900 + 100).cast("string"), 3, "0")
+    first, second, third, last = PRICE_LIST.split("{}")
+    body = F.concat(F.lit(first), who, F.lit(second), n, F.lit(third), n, F.lit(last))
+    items = extraction.extract_items(t.supplier.select("s_suppkey", body.alias("body")), "body", ["s_suppkey"])
+    items = extraction.drop_serials(extraction.repair_thousands(items), ["s_suppkey"], "pos", "price_value")
+    return items.select("s_suppkey", "section", "code", "name", "price_raw", "price_value", "currency")
 
 
 @query("agg_org_gate", f"""WITH {ITEMS}, a AS (SELECT domain, count(DISTINCT name) AS total, count(DISTINCT CASE WHEN regexp_matches(name, 'ring|gear') THEN name END) AS hit, count(DISTINCT CASE WHEN regexp_matches(name, '^(hot|cold)') THEN name END) AS esthetic, bool_and(regexp_matches(name, 'rod')) AS lab FROM items GROUP BY domain)

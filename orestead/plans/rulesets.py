@@ -9,6 +9,7 @@ from ..operators.rules import Rule, first_rule
 
 DIRECTIONS = [
     Rule("Round", "(ring|rod)", "^old"), Rule("Flat", "plate"), Rule("Toothed", "gear", "small"), Rule("Thermal", "^(hot|cold)"), Rule("Service", "bolt"),
+    Rule("Heavy", "anvil", "^new"), Rule("Clever", "gizmo"), Rule("Fitted", "widget", "^(old|blue)"),
 ]
 #: Directions that don't count as clinical.
 SERVICE = ("Service",)

@@ -18,7 +18,6 @@ def one(spark, c, *values):
 def test_prices(spark):
     cases = {"32040.00 ₽": 32040.0, "400,00 ₽": 400.0, "4 100.00 ₽": 4100.0, "2.500 ₽": 2500.0, "36.000₽": 36000.0, "1 500,50 ₽": 1500.5, "350 руб.": 350.0, "0 ₽": 0.0, "от 900 руб": None, "нет": None}
     assert one(spark, price.line_value, *cases) == list(cases.values())
-    assert [extraction.one_price(x)[0] for x in cases] == list(cases.values())
     assert one(spark, price.number, "4 100,50", "368.200", "", "x") == [4100.5, 368200.0, None, None]
 
 
@@ -64,23 +63,45 @@ def test_masking_of_capitals_and_short_patronymics(spark):
     assert one(spark, masking.has_name, *others) == [False] * len(others)
 
 
-def test_price_text_triplets_pairs_and_branches():
-    items = extraction.parse_price_text("АМБУЛАТОРНО > ДЕРМАТОЛОГИЯ\nDRMT7\nДерматоскопия кожи прибором\n124 у. е. / 12 437 руб.\nПриём врача первичный — 1 500 руб.\nУдаление от 900 руб.\nтекст без цены")
+def items_of(spark, body):
+    rows = extraction.extract_items(spark.createDataFrame([(1, body)], "page long, body string"), "body", ["page"])
+    return [r.asDict() for r in rows.orderBy("pos").collect()]
+
+
+def test_price_text_triplets_pairs_and_branches(spark):
+    items = items_of(spark, "АМБУЛАТОРНО > ДЕРМАТОЛОГИЯ\nDRMT7\nДерматоскопия кожи прибором\n124 у. е. / 12 437 руб.\nПриём врача первичный — 1 500 руб.\nУдаление от 900 руб.\nтекст без цены")
     assert [(i["code"], i["name"], i["price_value"]) for i in items] == [("DRMT7", "Дерматоскопия кожи прибором", 12437.0), ("", "Приём врача первичный", 1500.0), ("", "Удаление", None)]
     assert "ДЕРМАТОЛОГИЯ" in items[0]["section"] and "от 900" in items[2]["price_raw"]
-    branches = extraction.parse_price_text("Кошка rFel IgE анализ\n2 100.00 ₽\nЦены по филиалам\nКошка rFel IgE анализ\nг. Арзамас, пр. Ленина, д. 135\n2500 ₽")
+    branches = items_of(spark, "Кошка rFel IgE анализ\n2 100.00 ₽\nЦены по филиалам\nКошка rFel IgE анализ\nг. Арзамас, пр. Ленина, д. 135\n2500 ₽")
     assert branches[1]["name"] == "Кошка rFel IgE анализ" and branches[1]["section"] == "филиал: г. Арзамас, пр. Ленина, д. 135"
+    assert [b["price_value"] for b in branches] == [2100.0, 2500.0]
+
 
+def test_price_text_entries(spark):
+    items = items_of(spark, "  ОБЩИЕ УСЛУГИ \r\nПервая длинная строка названия\nхвост строки\n----\n300 ₽\n500 ₽\nОдна строка названия тут\nДругая длинная строка тут\n1 000 - 2 000 руб.\nКод\nAB12\nИмя услуги\nот 50 руб.\nЧистка 1 000 - 2 000 руб.\n" + "я" * 301 + "\n70 ₽")
+    assert [(i["section"], i["code"], i["name"], i["price_raw"], i["price_value"], i["currency"]) for i in items] == [
+        ("ОБЩИЕ УСЛУГИ", "", "Первая длинная строка названия, хвост строки", "300 ₽", 300.0, "RUB"),
+        ("ОБЩИЕ УСЛУГИ", "AB12", "Имя услуги", "от 50 руб.", None, "RUB"),
+        ("ОБЩИЕ УСЛУГИ", "", "Чистка", "1 000 - 2 000 руб.", None, "RUB"),
+    ]
 
-def test_tables_and_repeated_blocks():
-    html = "<table><tr><td>Консультации врачей</td></tr><tr><td>Приём дерматолога</td><td>1 500 ₽</td></tr><tr><td>Осмотр</td><td>900</td></tr></table>"
-    assert [(i["section"], i["name"], i["price_value"]) for i in extraction.rows_to_items(web.table_rows(html))] == [("Консультации врачей", "Приём дерматолога", 1500.0), ("Консультации врачей", "Осмотр", 900.0)]
+
+def test_tables_and_repeated_blocks(spark):
+    html = "<table><tr><td>Консультации врачей</td></tr><tr><td>Приём дерматолога</td><td>1 500 ₽</td></tr><tr><td>Осмотр</td><td>900</td></tr><tr><td>123</td><td>77</td></tr></table>"
+    pages = spark.createDataFrame([(1, html), (2, None), (3, html)], "page long, body string")
+    got = extraction.extract_items(pages, "body", ["page"], "html").orderBy("page", "pos").collect()
+    assert [(r.page, r.section, r.name, r.price_value) for r in got] == [(k, "Консультации врачей", *x) for k in (1, 3) for x in (("Приём дерматолога", 1500.0), ("Осмотр", 900.0))]
     cards = "".join(f"<div class='card'><span>Процедура номер {i}</span><b>{i}00 ₽</b></div>" for i in range(1, 6))
-    assert [i["price_value"] for i in extraction.repeated_blocks(f"<main>{cards}</main>")] == [100.0, 200.0, 300.0, 400.0, 500.0]
-    assert extraction.repeated_blocks(None) == [] == extraction.parse_price_text(None)
+    blocks = spark.createDataFrame([(1, f"<main>{cards}</main>"), (2, None), (3, cards.split("</div>")[0])], "page long, html string")
+    assert sorted((r.page, r.price_value) for r in extraction.repeated_blocks(blocks, "page", "html").collect()) == [(1, v) for v in (100.0, 200.0, 300.0, 400.0, 500.0)]
     assert web.html_to_text("<p>a <b>b</b></p><script>x</script><tr><td>1</td><td>2</td></tr>") == "a b\n1 | 2"
 
 
+def test_cell_values(spark):
+    cases = {"1 500 ₽": 1500.0, "900": 900.0, "50 руб.": None, "15 %": None, "№ 300": None, "100 200 300 раз": None, "около 500": None, "от 700 руб": 700.0, "": None, "500 / 600 ₽": None, "9" * 41: None}
+    assert one(spark, price.cell_value, *cases, None) == [*cases.values(), None]
+
+
 def test_items_from_pages(spark):
     pages = spark.createDataFrame([(1, "Чистка лица 1 500 ₽"), (2, "Чистка лица 1 500 ₽"), (3, None)], "page long, body string")
     got = extraction.extract_items(pages, "body", ["page"]).collect()
@@ -107,7 +128,7 @@ def test_fisher(spark):
     a, b, c, d = 8, 2, 1, 5
     chance = lambda x: comb(a + b, x) * comb(c + d, a + c - x) / comb(a + b + c + d, a + c)
     want = sum(chance(x) for x in range(max(0, a + c - c - d), min(a + b, a + c) + 1) if chance(x) <= chance(a) + 1e-12)
-    got = spark.range(1).select(stats.fisher(*[F.lit(x) for x in (a, b, c, d)], 20)).first()[0]
+    got = spark.range(1).select(stats.fisher(*[F.lit(x) for x in (a, b, c, d)])).first()[0]
     assert got == pytest.approx(want, abs=1e-9)
 
 

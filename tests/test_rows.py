@@ -16,7 +16,7 @@ def run(spark, name):
 
 
 def test_all_others_have_sql():
-    assert set(registry.queries()) - set(registry.oracle_sql()) == {"agg_fisher_p", "ex_html_text", "ex_items_text", "fn_masked_names", "fn_shard_of", "j_fuzzy_match", "win_saturation"}
+    assert set(registry.queries()) - set(registry.oracle_sql()) == {"agg_fisher_p", "ex_html_text", "fn_masked_names", "fn_shard_of", "j_fuzzy_match", "top_seeded_sample"}
 
 
 def test_shard_of(spark):
@@ -69,8 +69,3 @@ def test_names_in_late_lines_are_masked(spark, tmp_path):
     assert got[1] == (f"{masking.MASK}: {filler}Принимает {masking.MASK}\nконец", True)
     assert got[2] == (f"{masking.MASK}: {filler}", False) and got[3] == (None, False)
 
-
-def test_items_text(spark):
-    rows = run(spark, "ex_items_text")
-    assert len(rows) == 3 * spark.read.parquet(f"{SF}/supplier.parquet").count()
-    assert {r.section for r in rows} == {"ОБЩИЕ УСЛУГИ"} and {r.price_value is None for r in rows if r.name == "Удаление"} == {True}
