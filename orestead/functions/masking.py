@@ -18,7 +18,7 @@ ORGANISATION = r"клиник|центр|больниц|поликлиник|и
 MASK = "[ФИО]"
 STREET = r"(?:ул(?:ица|\.)?|пр(?:оспект|-т|\.)?|пер(?:еулок|\.)?|ш(?:оссе|\.)?|б(?:ульвар|-р)|наб(?:ережная|\.)?|пл(?:ощадь|\.)?)"
 HOUSE = r"(?:д(?:ом|\.)?\s*)?(\d+)\s*([а-яё]?)(?:[\s,/]*(?:к(?:орп(?:ус|\.)?|\.)?|стр(?:оение|\.)?|/)\s*(\d+[а-яё]?))?"
-ANTONYMS = (("правый", "левый"), ("верхний", "нижний"), ("без", "с"), ("мужской", "женский"), ("первичный", "повторный"))
+ANTONYMS = (("злокачествен", "доброкачествен"),)
 CUTOFF = 0.92
 
 _NAMES = [re.compile(p) for p in NAME_PATTERNS]
@@ -49,7 +49,7 @@ def street_and_house(address: str | None) -> tuple[str, str] | None:
 
 
 def best_match(name: str, listed: list[str], cutoff: float = CUTOFF) -> str | None:
-    """The most similar of listed by matching blocks, at least cutoff; ties go to the larger string; opposites don't match.
+    """The most similar of listed by matching blocks, at least cutoff; ties go to the larger string; texts of which one has a guarded stem and the other hasn't don't match.
 
     Strings so different in length that they can't reach the cutoff are passed over unseen.
     """
@@ -58,8 +58,8 @@ def best_match(name: str, listed: list[str], cutoff: float = CUTOFF) -> str | No
     best = max(((difflib.SequenceMatcher(None, s, name).ratio(), s) for s in near), default=(0.0, ""))
     if best[0] < cutoff:
         return None
-    mine, other = set(name.split()), set(best[1].split())
-    opposed = any((a in mine and b in other and a not in other) or (b in mine and a in other and b not in other) for a, b in ANTONYMS)
+    mine, other = name.lower(), best[1].lower()
+    opposed = any((stem in mine) != (stem in other) for pair in ANTONYMS for stem in pair)
     return None if opposed else best[1]
 
 

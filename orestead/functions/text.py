@@ -71,22 +71,28 @@ def rule_key(c: Column) -> Column:
     return squeeze(F.regexp_replace(F.regexp_replace(s, U + r"_x000d_|\s+", " "), "[^a-zа-я0-9 ]", " "))
 
 
-def without_ui(c: Column, rounds: int = 3) -> Column:
-    """Cuts calls to action off both ends; the patterns take runs of them, so a few rounds reach the fixed point."""
+def without_ui(c: Column) -> Column:
+    """Cuts calls to action off both ends until none is left.
+
+    Each pattern takes a whole run, and what one end loses can't bring out another at the other, but the whole text can
+    go: so tails, heads and once more tails are the fixed point.
+    """
     s = F.replace(F.coalesce(c, F.lit("")), F.lit(MASKED_NAME), F.lit(" "))
     s = F.regexp_replace(s, U + r"_x000D_|\s+", " ")
     tail = UI + r"(?:,?\s*(?:" + "|".join(UI_TAILS) + r"))+\s*$"
     head = UI + r"^\s*(?:(?:" + "|".join(UI_HEADS) + r")\b[^а-яa-z]*[:!.-]?\s*)+"
-    for _ in range(rounds):
-        s = F.regexp_replace(F.regexp_replace(s, tail, ""), head, "")
+    s = F.regexp_replace(F.regexp_replace(F.regexp_replace(s, tail, ""), head, ""), tail, "")
     return F.regexp_replace(s, r"^[ ,;·\-–—]+|[ ,;·\-–—]+$", "")
 
 
 def domain(c: Column) -> Column:
-    """Host of a URL or bare domain: scheme, path, port and www. go. Empty is null. Non-ASCII hosts stay as they are here."""
+    """Host of a URL or bare domain: scheme, path, port and www. go, and other scripts become punycode, so that both
+    spellings give one key. Empty is null; what has no punycode stays as it is.
+    """
     s = F.regexp_replace(F.trim(F.lower(c)), r"^https?://", "")
     s = F.regexp_replace(F.substring_index(F.substring_index(s, "/", 1), ":", 1), r"^www\.", "")
-    return F.nullif(s, F.lit(""))
+    coded = F.try_reflect(F.lit("java.net.IDN"), F.lit("toASCII"), s)
+    return F.nullif(F.when(s.rlike(r"[^\x00-\x7f]"), F.coalesce(coded, s)).otherwise(s), F.lit(""))
 
 
 def first_site(c: Column) -> Column:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .windows import first_per
@@ -13,8 +13,11 @@ def insert_if_absent(existing: DataFrame, incoming: DataFrame, keys: list[str])
     return existing.unionByName(incoming.join(existing.select(*keys), keys, "left_anti"), allowMissingColumns=True)
 
 
-def replace_on_key(existing: DataFrame, incoming: DataFrame, keys: list[str]) -> DataFrame:
-    """Incoming rows win."""
+def replace_on_key(existing: DataFrame, incoming: DataFrame, keys: list[str], order: list[Column] | None = None) -> DataFrame:
+    """Incoming rows win; of several incoming rows of a key the last in order (ascending) does. Without an order all of them stay."""
+    if order:
+        last = Window.partitionBy(*keys).orderBy(*[c.desc() for c in order])
+        incoming = incoming.withColumn("_last", F.row_number().over(last)).where("_last = 1").drop("_last")
     return existing.join(incoming.select(*keys).distinct(), keys, "left_anti").unionByName(incoming, allowMissingColumns=True)
 
 

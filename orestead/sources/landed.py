@@ -24,6 +24,12 @@ def row_range(rows: DataFrame, position: str, first: int, last: int, limit: int
     return out if limit is None else out.orderBy(position).limit(limit)
 
 
+def json_lines(rows: DataFrame, column: str, schema: str, keep: list[str]) -> DataFrame:
+    """Fields of JSON lines held in a column; a bad line is kept in _corrupt_record with nulls elsewhere."""
+    parsed = F.from_json(column, f"{schema}, _corrupt_record string", {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"})
+    return rows.select(*keep, parsed.alias("_j")).select(*keep, "_j.*")
+
+
 def json_dump(spark: SparkSession, path: str, schema: str, done: DataFrame | None = None, key: str = "inn") -> DataFrame:
     """JSON lines; a bad line is kept in _corrupt_record with nulls elsewhere, keys already done are left out."""
     df = spark.read.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_corrupt_record").schema(f"{schema}, _corrupt_record string").json(path)
@@ -43,10 +49,10 @@ def preferred_correction(corrections: Column, has: str = "value") -> Column:
     return F.coalesce(F.get(F.filter(usable, lambda c: c["type"] == CORRECTION), F.lit(0)), F.get(usable, F.lit(0)))
 
 
-def xml_results(rows: DataFrame, column: str = "xml") -> DataFrame:
-    """url, domain and title of each document of a search answer."""
+def xml_results(rows: DataFrame, column: str = "xml", keep: list[str] | None = None) -> DataFrame:
+    """url, domain and title of each document of a search answer, after the columns of keep."""
     of = lambda tag: F.expr(f"xpath({column}, '//doc/{tag}/text()')")
-    return rows.select("*", F.explode(F.arrays_zip(of("url").alias("url"), of("domain").alias("domain"), of("title").alias("title"))).alias("d")).select("d.url", "d.domain", "d.title")
+    return rows.select("*", F.explode(F.arrays_zip(of("url").alias("url"), of("domain").alias("domain"), of("title").alias("title"))).alias("d")).select(*(keep or []), "d.url", "d.domain", "d.title")
 
 
 def orphans(rows: DataFrame, confirmed: DataFrame, keys: list[str]) -> DataFrame:

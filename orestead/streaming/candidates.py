@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -29,21 +29,31 @@ def over_quota(counts: DataFrame, limit: int) -> DataFrame:
 class Ledger:
     """A foreachBatch sink: merges each micro-batch's candidates into a table of first-seen keys, once per batch id.
 
-    The table is kept as one folder per version, so that a batch that is run again replaces its own version.
+    The table is kept as one folder per version, named by the batch id. A batch builds on the last version below it that
+    was written to its end, as the storage shows it: so a driver that starts anew goes on with the history, and a batch
+    that is run again replaces its own version.
     """
 
     def __init__(self, path: str, keys: list[str], order: str):
         self.path, self.keys, self.order = path.rstrip("/"), keys, order
-        self.version: int | None = None
+
+    def _versions(self, spark: SparkSession) -> list[int]:
+        at = spark._jvm.org.apache.hadoop.fs.Path(self.path)
+        system = at.getFileSystem(spark._jsc.hadoopConfiguration())
+        if not system.exists(at):
+            return []
+        found = [f.getPath() for f in system.listStatus(at)]
+        done = [p.getName() for p in found if system.exists(spark._jvm.org.apache.hadoop.fs.Path(p, "_SUCCESS"))]
+        return sorted(int(n) for n in done if n.isdigit())
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         fresh = batch.groupBy(*self.keys).agg(F.min(self.order).alias(self.order))
-        if self.version is not None:
-            held = spark.read.parquet(f"{self.path}/{self.version}")
+        before = [v for v in self._versions(spark) if v < batch_id]
+        if before:
+            held = spark.read.parquet(f"{self.path}/{before[-1]}")
             fresh = held.unionByName(fresh.join(held.select(*self.keys), self.keys, "left_anti"))
         fresh.write.mode("overwrite").parquet(f"{self.path}/{batch_id}")
-        self.version = batch_id
 
-    def table(self, spark) -> DataFrame:  # noqa: ANN001
-        return spark.read.parquet(f"{self.path}/{self.version}")
+    def table(self, spark: SparkSession) -> DataFrame:
+        return spark.read.parquet(f"{self.path}/{self._versions(spark)[-1]}")
