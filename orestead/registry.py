@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from .plans import base, events, items, pages, profile, reports  # noqa: F401  each registers its queries
+from .plans import base, events, items, landed, names, pages, profile, reports  # noqa: F401  each registers its queries
 
 
 def queries() -> dict:
