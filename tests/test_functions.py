@@ -162,3 +162,23 @@ def test_sections_cascade_and_merges(spark):
 def test_robots(spark):
     rows = spark.createDataFrame([("/fr/", "/fr/x"), ("/*.html$", "/a.html"), ("/*.html$", "/a.html?x"), ("/a.b", "/aXb")], "p string, path string")
     assert [r[0] for r in rows.select(F.regexp("path", web.robots_regex(F.col("p")))).collect()] == [True, True, False, False]
+
+
+def test_punycode_and_guards(spark):
+    assert one(spark, text.domain, "https://Плазмасибирь.рф/x", "www.ПЛАЗМАСИБИРЬ.РФ:80", "a..рф") == ["плазмасибирь.рф".encode("idna").decode()] * 2 + ["a..рф"]
+    pair = "доброкачественное новообразование кожи"
+    assert masking.best_match("злокачественное новообразование кожи", [pair], 0.8) is None
+    assert masking.best_match(pair + ".", [pair], 0.8) == pair
+
+
+def test_numbering_by_ranges(spark):
+    rows = spark.createDataFrame([(i * 7919 % 500 // 3, i) for i in range(500)], "a long, b long")
+    got = windows.numbered(rows, [-F.col("a"), F.col("b")], "seq", 40).collect()
+    assert [(r.a, r.b) for r in sorted(got, key=lambda r: r.seq)] == sorted(((r.a, r.b) for r in got), key=lambda x: (-x[0], x[1]))
+    assert sorted(r.seq for r in got) == list(range(1, 501))
+    assert windows.numbered(rows.limit(0), [F.col("a")], "seq").count() == 0
+
+
+def test_last_of_repeated_imports(spark):
+    held, new = spark.createDataFrame([(1, 5), (2, 6)], "k long, v long"), spark.createDataFrame([(2, 7), (2, 9), (3, 1)], "k long, v long")
+    assert sorted(map(tuple, state.replace_on_key(held, new, ["k"], [F.col("v")]).collect())) == [(1, 5), (2, 9), (3, 1)]

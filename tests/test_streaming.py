@@ -27,3 +27,14 @@ def test_first_seen_stream(spark):
     q = candidates.first_seen(stream, ["user_id"], delay="1000 days").writeStream.format("memory").queryName("seen").outputMode("append").trigger(availableNow=True).start()
     q.awaitTermination(120)
     assert spark.table("seen").count() == events.select("user_id").distinct().count()
+
+
+def test_ledger_goes_on_after_a_restart(spark, tmp_path):
+    rows = lambda *ids: spark.createDataFrame([(i, 10 * i + 1) for i in ids], "k long, at long")
+    path = str(tmp_path / "ledger")
+    candidates.Ledger(path, ["k"], "at")(rows(1, 2), 0)
+    candidates.Ledger(path, ["k"], "at")(rows(2, 3), 1)  # a new driver
+    candidates.Ledger(path, ["k"], "at")(rows(2, 3), 1)  # the same batch again
+    (tmp_path / "ledger" / "2").mkdir()  # a version that wasn't finished
+    candidates.Ledger(path, ["k"], "at")(rows(4), 2)
+    assert sorted(r.k for r in candidates.Ledger(path, ["k"], "at").table(spark).collect()) == [1, 2, 3, 4]
