@@ -11,12 +11,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import materialize, unused
+from .common import BROADCAST_ROWS, materialize, unused
 
 #: Bits of the hash that each histogram resolves, and how often the boundary bucket is refined.
 BUCKET_BITS = 12
 LEVELS = 4
 HASH_BITS = BUCKET_BITS * LEVELS
+#: Equal rows that are numbered at once.
+COPIES = 4096
 WORD = r"[^\x20\x09-\x0D]+"
 
 
@@ -85,13 +87,22 @@ def _thresholds(sizes: DataFrame, targets: DataFrame) -> DataFrame:
     return state
 
 
-def _hash(seed: int) -> Column:
-    """HASH_BITS bits from the id and the text."""
-    return F.shiftrightunsigned(F.xxhash64(F.lit(seed), "doc_id", F.xxhash64("text")), 64 - HASH_BITS)
+def _hash(seed: int, text_hash: Column, nth: Column) -> Column:
+    """HASH_BITS bits from the id, the text's hash and which of the equal rows it is."""
+    return F.shiftrightunsigned(F.xxhash64(F.lit(seed), "doc_id", text_hash, nth), 64 - HASH_BITS)
 
 
 def _sized(docs: DataFrame, seed: int) -> DataFrame:
-    return materialize(docs.select("doc_id", "source", word_count(F.col("text")).alias("size"), _hash(seed).alias("h")), "mix-sizes")
+    """A row per document: doc_id, source, size, k (hash of the text), copies (rows equal to it) and h.
+
+    Equal rows are counted first and then numbered, so that each has a hash of its own and reruns agree.
+    """
+    rows = docs.select("doc_id", "source", word_count(F.col("text")).alias("size"), F.xxhash64("text").alias("k"))
+    counted = rows.groupBy("doc_id", "source", "size", "k").agg(F.count("*").alias("copies"))
+    runs = counted.withColumn("run", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("copies") - 1) / COPIES))))
+    first = F.col("run") * COPIES + 1
+    each = runs.withColumn("nth", F.explode(F.sequence(first, F.least("copies", first + (COPIES - 1))))).drop("run")
+    return materialize(each.select("doc_id", "source", "size", "k", "copies", _hash(seed, F.col("k"), F.col("nth")).alias("h")), "mix-sizes")
 
 
 def _cuts(sizes: DataFrame, weights: tuple[float, ...], share: float, most: float) -> DataFrame:
@@ -106,21 +117,35 @@ def mix_sources(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), share:
     Returns doc_id, size (words), source_size, target (its source's), taken (words, repeats counted) and times.
 
     Every document of a source is taken target // source_size times, and once more if its hash is under the
-    threshold. The hash is of doc_id, text and seed, so reruns agree, and rows equal in both stand or fall together.
+    threshold. The hash is of doc_id, text, seed and a number among equal rows, so reruns agree and equal rows are taken one by one.
     Null text has size 0, null is a source of its own (the last), an empty table gives no rows, and a source without
     words has target 0. Other columns of docs are ignored.
     """
     sizes = _sized(docs, seed)
     cuts = _cuts(sizes, weights, share, most)
     times = F.col("times") + (F.col("h") < F.col("low")).cast("long")
-    out = sizes.join(cuts, F.col("source").eqNullSafe(F.col("s")))
+    out = sizes.drop("k", "copies").join(cuts, F.col("source").eqNullSafe(F.col("s")))
     return out.select("doc_id", "size", "source_size", F.col("target").cast("double").alias("target"), (F.col("size") * times).alias("taken"), times.alias("times"))
 
 
 def mixed_documents(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), share: float = 1.5, most: float = 2.0, seed: int = 0) -> DataFrame:
-    """docs with each row as often as mix_sources takes it. Texts aren't shuffled: the cuts, a row per source, are joined to them."""
-    s, t, low, h, copy = unused(docs, "_s", "_t", "_low", "_h", "_copy")
-    cuts = _cuts(_sized(docs, seed), weights, share, most).select(F.col("s").alias(s), F.col("times").alias(t), F.col("low").alias(low))
+    """docs with each row as often as mix_sources takes it.
+
+    Texts aren't shuffled: the cuts, a row per source, are joined to them. Only rows that are equal in doc_id, source and text
+    are put together, to be numbered.
+    """
+    s, t, low, h, copy, k, i, z = unused(docs, "_s", "_t", "_low", "_h", "_copy", "_k", "_i", "_z")
+    sizes = _sized(docs, seed)
+    cuts = _cuts(sizes, weights, share, most).select(F.col("s").alias(s), F.col("times").alias(t), F.col("low").alias(low))
     times = (F.col(t) + (F.col(h) < F.col(low)).cast("long")).cast("int")
-    marked = docs.withColumn(h, _hash(seed)).join(cuts, F.col("source").eqNullSafe(F.col(s)))
+    several = sizes.where("copies > 1").select(F.coalesce("doc_id", F.lit(0)).alias(i), F.col("k").alias(k), F.xxhash64("source", F.col("doc_id").isNull()).alias(z)).distinct()
+    keyed = docs.withColumns({i: F.coalesce("doc_id", F.lit(0)), k: F.xxhash64("text"), z: F.xxhash64("source", F.col("doc_id").isNull())})
+    number = lambda n: _hash(seed, F.col(k), n)
+    if several.isEmpty():
+        rows = keyed.withColumn(h, number(F.lit(1).cast("long")))
+    else:
+        few = F.broadcast(several) if several.count() <= BROADCAST_ROWS else several
+        nth = F.row_number().over(Window.partitionBy(i, k, z).orderBy(k)).cast("long")
+        rows = keyed.join(few, [i, k, z], "left_anti").withColumn(h, number(F.lit(1).cast("long"))).unionByName(keyed.join(few, [i, k, z], "left_semi").withColumn(h, number(nth)))
+    marked = rows.join(cuts, F.col("source").eqNullSafe(F.col(s)))
     return marked.where(times > 0).withColumn(copy, F.explode(F.sequence(F.lit(1), times))).select(*docs.columns)
