@@ -193,7 +193,7 @@ def build_index(rows: DataFrame, shard_size: int = SHARD_SIZE, keep: int = 21) -
 
 def _searcher(k: int, ef: int):
     def run(key: tuple, index: pd.DataFrame, block: pd.DataFrame) -> pd.DataFrame:
-        empty = pd.DataFrame({"query_id": np.zeros(0, np.int64), "vec_id": np.zeros(0, np.int64), "score": np.zeros(0)})
+        empty = pd.DataFrame({"query_id": np.zeros(0, np.int64), "asked": np.zeros(0, np.int64), "vec_id": np.zeros(0, np.int64), "score": np.zeros(0)})
         if not len(index) or not len(block):
             return empty
         row = index.iloc[0]
@@ -210,7 +210,7 @@ def _searcher(k: int, ef: int):
             part = block.iloc[lo : lo + _STEP]
             q = np.stack(part["vector"].to_numpy()).astype(np.float64)
             found = search(vectors, graph, q, max(ef, k + 1))
-            for i, own in enumerate(part["vec_id"].to_numpy()):
+            for i, (own, asked) in enumerate(zip(part["vec_id"].to_numpy(), part["asked"].to_numpy(), strict=True)):
                 nodes = found[i][found[i] >= 0]
                 score = (vectors[nodes] * q[i]).sum(1)
                 size = stop[nodes] - start[nodes]
@@ -218,7 +218,7 @@ def _searcher(k: int, ef: int):
                 vec, value = ids[at], np.repeat(score, size)
                 vec, value = vec[vec != own], value[vec != own]
                 best = np.lexsort((vec, -value))[:k]
-                parts.append(pd.DataFrame({"query_id": np.full(len(best), own), "vec_id": vec[best], "score": value[best]}))
+                parts.append(pd.DataFrame({"query_id": np.full(len(best), own), "asked": np.full(len(best), asked), "vec_id": vec[best], "score": value[best]}))
         return pd.concat(parts, ignore_index=True)
 
     return run
@@ -230,17 +230,18 @@ def nearest(rows: DataFrame, queries: DataFrame, k: int = 20, ef: int = EF, shar
     Returns query_id, rank (from 1), vec_id and score, the inner product of the original vectors in double precision;
     nearest first, ties to the smaller vec_id. Null ids and vectors that aren't usable() take no part, vectors of another
     length than a query's have no product with it, and shards hold one length each. Rows that repeat an id and a vector
-    count once. Fewer rows than k give all there are. Every block of queries meets every shard, as a grouped task.
+    count once; rows of one id with several vectors are candidates each, and as queries each is answered with ranks of its
+    own. Fewer rows than k give all there are. Every block of queries meets every shard, as a grouped task.
     """
     ok = lambda df: df.where(usable(F.col("vector")) & F.col("vec_id").isNotNull()).select("vec_id", F.col("vector").cast("array<double>").alias("vector"))
-    rows = ok(rows).dropDuplicates(["vec_id"])
+    rows = ok(rows).dropDuplicates(["vec_id", "vector"])
     index = materialize(build_index(rows, shard_size, k + 1), "hnsw")
-    asked = materialize(ok(queries).dropDuplicates(["vec_id"]), "hnsw-queries")
+    asked = materialize(ok(queries).dropDuplicates(["vec_id", "vector"]).withColumn("asked", F.xxhash64("vector")), "hnsw-queries")
     blocks = max(1, math.ceil(asked.count() / QUERY_BLOCK))
     shards = [r["shard"] for r in index.select("shard").collect()]
     asked = asked.withColumn("block", F.pmod(F.xxhash64(F.lit(1), "vec_id"), F.lit(blocks)).cast("int"))
     asked = asked.select("*", F.explode(F.lit(shards) if shards else F.array().cast("array<int>")).alias("shard"))
     spread = index.select("*", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"))
-    found = spread.groupBy("shard", "block").cogroup(asked.groupBy("shard", "block")).applyInPandas(_searcher(k, ef), "query_id long, vec_id long, score double")
-    best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    found = spread.groupBy("shard", "block").cogroup(asked.groupBy("shard", "block")).applyInPandas(_searcher(k, ef), "query_id long, asked long, vec_id long, score double")
+    best = Window.partitionBy("query_id", "asked").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
