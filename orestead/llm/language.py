@@ -7,6 +7,7 @@ penalty for those that a profile lacks.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,10 +30,10 @@ _codes: list[np.ndarray] = []
 
 
 def _letters() -> np.ndarray:
-    """For each code point up to 0xFFFF: its lower case if it is a letter, else 0; beyond, letters are folded to 16 bits."""
+    """For each code point its lower case if it is a letter, else 0; letters beyond 0xFFFF are folded to 16 bits."""
     if not _codes:
         table = np.zeros(0x110000, dtype=np.uint16)
-        for c in [*range(0x30000), *range(0xE0000, 0xE1000)]:
+        for c in range(0x110000):
             ch = chr(c)
             if ch.isalpha():
                 low = ch.lower()
@@ -97,12 +98,16 @@ def _counter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def fit_profiles(labelled: DataFrame, max_fit: int = MAX_FIT) -> dict[str, list[int]]:
     """The RANKS most frequent n-grams of each value of lang, ties by n-gram.
 
-    labelled has text and lang, without nulls. If it has more than max_fit rows, about max_fit of them are chosen by a
-    hash of the text. There are as many profiles as labels, which are taken to be few.
+    labelled has text and lang, without nulls, and may have doc_id. Each label has an equal part of max_fit; of one with more rows
+    about so many are chosen, by a hash of the row. There are as many profiles as labels, which are taken to be few.
     """
-    n = labelled.count()
-    if n > max_fit:
-        labelled = labelled.where(F.pmod(F.xxhash64("text"), F.lit(1 << 20)) < int((1 << 20) * max_fit / n))
+    sizes = {r["lang"]: r["n"] for r in labelled.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    if sum(sizes.values()) > max_fit:
+        spot = F.pmod(F.xxhash64("text", *["doc_id"] * ("doc_id" in labelled.columns)), F.lit(1 << 40))
+        share = F.lit(1 << 40)
+        for lang, n in sizes.items():
+            share = F.when(F.col("lang") == lang, F.lit(math.ceil((1 << 40) * min(1.0, max_fit / len(sizes) / n)))).otherwise(share)
+        labelled = labelled.where(spot < share)
     counts = in_arrow(labelled.select("lang", "text"), _counter, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     top = counts.withColumn("r", F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "gram"))).where(F.col("r") <= RANKS)
     profiles: dict[str, list[tuple[int, int]]] = {}
