@@ -194,7 +194,7 @@ def recover_roles(turns: DataFrame, model: dict) -> DataFrame:
     conversation of its own. Null and empty texts count as turns of no words. rendered is the text without its marker,
     after a header where the speaker changed. An empty table gives no rows.
     """
-    key = F.coalesce(F.col("conv_id").cast("string"), F.lit("null"))
+    key = F.coalesce(F.concat(F.lit("="), F.col("conv_id").cast("string")), F.lit("null"))
     at = F.coalesce(F.col("turn").cast("long"), F.lit(NO_TURN)).cast("long")
     rows = turns.select("conv_id", "turn", "text", key.alias("conv"), at.alias("t"))
     seen = rows.select("conv", "t", _observation(F.col("text")).alias("o")).groupBy("conv", "t", "o").agg(F.count("*").alias("n"))

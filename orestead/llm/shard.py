@@ -56,7 +56,7 @@ def _with_keys(meta: DataFrame) -> DataFrame:
     low, high, most = span["a"] or 0, span["b"] or 0, span["s"] or 1.0
     units = {
         "size": F.log2("size") / F.lit(max(most, 1e-9)),
-        "doc_id": F.coalesce((F.col("doc_id") - F.lit(low)) / F.lit(float(max(high - low, 1))), F.lit(0.0)),
+        "doc_id": F.coalesce((F.col("doc_id").cast("double") - F.lit(float(low))) / F.lit(float(max(high - low, 1))), F.lit(0.0)),
         "lang": F.col("u_lang"),
         "source": F.col("u_source"),
     }

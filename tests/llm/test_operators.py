@@ -365,6 +365,117 @@ def test_near_duplicates_of_edited_copies(spark):
         assert got == _brute_components(rows, k, percent)
 
 
+def test_shards_of_far_ids_and_plain_cuts(spark):
+    ends = spark.createDataFrame([(-(2**63) + 1, "a"), (2**63 - 1, "bb"), (0, "c"), (None, "d")], "doc_id long, text string")
+    assert sorted(shard.kd_shards(ends, shards=2).groupBy("shard").count().toPandas()["count"]) in ([1, 3], [2, 2])
+    # Sizes are equal and ids are the widest dimension: cuts at plain medians of the ids, down the tree.
+    rows = [(i * i, "same") for i in range(1, 401)]
+    got = {r.doc_id: r.shard for r in shard.kd_shards(spark.createDataFrame(rows, "doc_id long, text string"), shards=4).collect()}
+
+    def cut(ids, leaves):
+        if leaves == 1:
+            return [set(ids)]
+        at = len(ids) * (leaves // 2) // leaves
+        return cut(ids[:at], leaves // 2) + cut(ids[at:], leaves - leaves // 2)
+
+    want = cut(sorted(i for i, _ in rows), 4)
+    assert [{d for d, x in got.items() if x == n} for n in range(4)] == want
+
+
+def test_mixing_of_equal_rows(spark):
+    rows = [(1, "one two three", "a")] * 100 + [(1000 + i, f"word number {i}", "b") for i in range(300)] + [(None, "x y", None)] * 40
+    table = spark.createDataFrame(rows, "doc_id long, text string, source string").withColumn("_h", F.lit(1))
+    got = mixing.mix_sources(table).toPandas()
+    assert len(got) == len(rows) and (got["taken"] <= 2 * got["size"]).all()
+    per = got.groupby("source_size").agg(T=("target", "first"), K=("taken", "sum"), m=("size", "max"))
+    assert ((per["K"] - per["T"]).abs() <= per["m"]).all()
+    again = mixing.mix_sources(table).agg(F.sum("taken")).first()[0]
+    out = mixing.mixed_documents(table)
+    assert again == per["K"].sum() and out.columns == table.columns
+    assert out.agg(F.sum(mixing.word_count(F.col("text")))).first()[0] == again
+
+
+def test_nearest_of_ids_with_several_vectors(spark):
+    rows = [(0, [1.0, 0.0]), (1, [0.5, 0.0]), (1, [9.0, 0.0]), (2, [2.0, 1.0]), (3, [2.0, 5.0]), (3, [2.0, 5.0]), (20, [0.0, 1.0]), (20, [1.0, 1.0])]
+    df = spark.createDataFrame(rows, "vec_id long, vector array<double>")
+    got = hnsw.nearest(df, df.where("vec_id % 20 = 0"), k=3).collect()
+    assert [(r.rank, r.vec_id, r.score) for r in sorted(got, key=lambda r: r.rank) if r.query_id == 0] == [(1, 1, 9.0), (2, 2, 2.0), (3, 3, 2.0)]
+    assert sorted(r.score for r in got if r.query_id == 20 and r.rank == 1) == [5.0, 9.0]
+
+
+def test_language_against_plain_out_of_place(spark, docs):
+    profiles = language.learn(docs)
+
+    def plain(text):
+        low = "".join(c.lower() if c.isalpha() else " " for c in text)
+        low = " " + " ".join(low.split()) + " "
+        return low
+
+    counts = Counter()
+    sample = "Der Hund und die Katze gehen über die Brücke, und der Hund bellt. Über allen Gipfeln!"
+    low = plain(sample)
+    for k in language.ORDERS:
+        for i in range(len(low) - k + 1):
+            gram = low[i : i + k]
+            if gram.strip() and not (k == 3 and gram[1] == " "):
+                counts[gram] += 1
+
+    def code(gram):
+        out = 0
+        for c in gram:
+            out = (out << 16) | (0 if c == " " else ord(c))
+        return (len(gram) << 48) | out
+
+    ranked = [g for g, _ in sorted(((code(g), n) for g, n in counts.items()), key=lambda x: (-x[1], x[0]))][: language.RANKS]
+    apart = {lang: sum(abs(p.index(g) - i) if g in p else language.RANKS for i, g in enumerate(ranked)) for lang, p in profiles.items()}
+    best = min(apart.items(), key=lambda x: (x[1], x[0]))
+    got = language.identify(spark.createDataFrame([(1, plain(sample)), (2, chr(0x30000)), (3, chr(0x1F600))], "doc_id long, text string"), profiles).toPandas().set_index("doc_id")
+    assert got.loc[1, "lang_pred"] == best[0] and abs(got.loc[1, "score"] - (1 - best[1] / (len(ranked) * language.RANKS))) < 1e-9
+    assert got.loc[2, "lang_pred"] != "und" and got.loc[3, "lang_pred"] == "und"
+    rare = spark.createDataFrame([(i, f"common words here {i}", "xx") for i in range(300)] + [(1000, "seltene wörter", "yy")], "doc_id long, text string, lang string")
+    assert set(language.fit_profiles(rare, max_fit=40)) == {"xx", "yy"}
+
+
+def test_url_verdicts_against_plain_models(spark):
+    accepted, rejected = [f"http://a{i}.org/list/{i}" for i in range(60)], [f"http://casino{i}.net/win/{i}" for i in range(40)]
+    rows = accepted + accepted[:5] * 9 + rejected + ["http://a.unknown/list/1", "http://casino.unknown/win/9", "plain", None]
+    pages = spark.createDataFrame(list(enumerate(rows)), "page_id long, url string")
+    got = {r.page_id: r for r in urls.judge(pages, [("allow", "org/")]).collect()}
+    held = {r.url: r.held for r in pages.where("url is not null").select("url", (F.pmod(F.xxhash64(F.lit(7), "url"), F.lit(5)) == 0).alias("held")).collect()}
+
+    def plain(train, url):
+        """Witten-Bell by counting the contexts anew for each character."""
+        texts = [urls._plain(t) for t in train]
+        text, total = urls._plain(url), 0.0
+        for i in range(1, len(text)):
+            p = 1 / urls.ALPHABET
+            for k in range(min(urls.ORDER, i) + 1):
+                context = text[i - k : i]
+                after = Counter(t[j] for t in texts for j in range(max(1, k), len(t)) if t[j - k : j] == context)
+                n = sum(after.values())
+                if not n:
+                    break
+                p = (after[text[i]] + len(after) * p) / (n + len(after))
+            total += np.log(p)
+        return total / (len(text) - 1)
+
+    fit = lambda side: [u for u in side if not held[u]]
+    rejected.append(rows[-3])  # its host has a seed word
+    ratio = urls.Ratio(fit(accepted), fit(rejected))
+    at = ratio.calibrate([u for u in accepted if held[u]], [u for u in rejected if held[u]])
+    for i in range(len(rows) - 4, len(rows)):
+        score = plain(fit(accepted), rows[i]) - plain(fit(rejected), rows[i]) - at
+        assert abs(got[i].score - score) < 1e-9 and got[i].verdict == ("block" if score < 0 else "allow")
+    assert got[0].score is None and got[0].verdict == "allow" and got[len(rows) - 3].verdict == "block"
+
+
+def test_chat_of_null_and_named_null(spark):
+    turns = spark.createDataFrame([(None, 0, "User: hi"), (None, 1, "Assistant: yes"), ("null", 0, "Assistant: yes"), ("null", 1, "User: hi")], "conv_id string, turn int, text string")
+    model = chat.fit(chat.training_turns(spark.read.parquet(f"{SF}/conversations.parquet")))
+    got = {(r.conv_id, r.turn): r.role for r in chat.recover_roles(turns, model).collect()}
+    assert got == {(None, 0): "user", (None, 1): "assistant", ("null", 0): "assistant", ("null", 1): "user"}
+
+
 def test_components(spark):
     links = [(i, i + 1) for i in range(1, 30)] + [(50, 40), (41, 50), (60, 60)]
     got = {r.node: r.component for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
