@@ -14,11 +14,13 @@ _shipped: set[str] = set()
 
 
 def ship(spark: SparkSession) -> None:
-    """Lets Python workers import this package: sends it to the executors unless their PYTHONPATH has it already."""
+    """Lets Python workers import this package: sends it to the executors. Workers of a local master have the driver's PYTHONPATH."""
     root = Path(__file__).resolve().parents[1]
-    app = spark.sparkContext.applicationId
+    context = spark.sparkContext
+    app = context.applicationId
+    local = context.master.startswith("local") and not context.master.startswith("local-cluster")
     paths = [Path(p).resolve() for p in os.environ.get("PYTHONPATH", "").split(os.pathsep) if p]
-    if app in _shipped or root in paths:
+    if app in _shipped or (local and root in paths):
         return
     folder = tempfile.TemporaryDirectory(prefix="orestead-", ignore_cleanup_errors=True)
     atexit.register(folder.cleanup)
@@ -26,5 +28,5 @@ def ship(spark: SparkSession) -> None:
     with zipfile.ZipFile(target, "w") as z:
         for f in sorted(Path(__file__).resolve().parent.rglob("*.py")):
             z.write(f, f.relative_to(root))
-    spark.sparkContext.addPyFile(str(target))
+    context.addPyFile(str(target))
     _shipped.add(app)
