@@ -96,12 +96,11 @@ def summary(t: Tables) -> DataFrame:
     return t.customer.join(per, F.col("c_custkey") == F.col("o_custkey"), "left").select("c_custkey", F.coalesce("orders", F.lit(0)).alias("orders"), "statuses")
 
 
-@query("j_shared_peers", "SELECT a.s_suppkey, string_agg(b.s_suppkey::VARCHAR, ', ' ORDER BY b.s_suppkey) AS peers FROM supplier a LEFT JOIN supplier b ON a.s_nationkey = b.s_nationkey AND a.s_suppkey <> b.s_suppkey GROUP BY a.s_suppkey")
+@query("j_shared_peers", "SELECT s_suppkey, s_nationkey AS shared, count(*) OVER (PARTITION BY s_nationkey) - 1 AS peers FROM supplier")
 def shared_peers(t: Tables) -> DataFrame:
-    """Peers of one key, without itself: one grouped list per key instead of a self-join."""
-    lists = t.supplier.groupBy("s_nationkey").agg(F.sort_array(F.collect_list("s_suppkey")).alias("l"))
-    rows = t.supplier.join(lists, "s_nationkey").select("s_suppkey", F.filter("l", lambda x: x != F.col("s_suppkey")).alias("p"))
-    return rows.select("s_suppkey", F.when(F.size("p") > 0, F.array_join(F.transform("p", lambda x: x.cast("string")), ", ")).alias("peers"))
+    """Peers of one key as membership: the key that is shared and how many others have it. Lists for every member would be quadratic."""
+    sizes = t.supplier.groupBy("s_nationkey").agg((F.count("*") - 1).alias("peers"))
+    return t.supplier.join(sizes, "s_nationkey").select("s_suppkey", F.col("s_nationkey").alias("shared"), "peers")
 
 
 @query("j_recall_cascade", """WITH a AS (SELECT o_custkey AS key, min(o_orderpriority) AS value FROM orders WHERE o_orderstatus = 'F' AND o_orderpriority LIKE '1%' GROUP BY 1),

@@ -120,10 +120,11 @@ def combos(t: Tables) -> DataFrame:
 
 
 @query("rep_full_combination", SEGMENTS + """, f AS (SELECT inn, string_agg(direction, ' + ' ORDER BY direction) AS combo FROM (SELECT DISTINCT inn, direction FROM comp WHERE status IN ('confirmed', 'by price')) GROUP BY inn)
- SELECT combo, count(*) AS n, string_agg(inn::VARCHAR, ', ' ORDER BY inn) AS inns FROM f GROUP BY combo""")
+ SELECT combo, inn, count(*) OVER (PARTITION BY combo) AS companies FROM f""")
 def full_combination(t: Tables) -> DataFrame:
+    """Each company with its whole combination and how many have it: a row per member, as a list of members could hold most of the companies."""
     x = composition(t).where(F.col("status").isin("confirmed", "by price")).groupBy("inn").agg(F.array_join(F.sort_array(F.collect_set("direction")), " + ").alias("combo"))
-    return x.groupBy("combo").agg(F.count("*").alias("n"), F.array_join(F.transform(F.sort_array(F.collect_list("inn")), lambda i: i.cast("string")), ", ").alias("inns"))
+    return x.join(x.groupBy("combo").agg(F.count("*").alias("companies")), "combo").select("combo", "inn", "companies")
 
 
 @query("set_site_minus_price", COMPOSITION + """, a AS (SELECT inn, direction FROM site_dirs), b AS (SELECT DISTINCT inn, direction FROM directed WHERE direction IS NOT NULL)

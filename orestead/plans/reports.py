@@ -70,15 +70,20 @@ def fuzzy_match(t: Tables) -> DataFrame:
     return exact.unionByName(rest)
 
 
-@query("j_token_overlap", """WITH s AS (SELECT DISTINCT p_name AS a FROM part WHERE p_partkey % 2 = 0), r AS (SELECT DISTINCT p_name AS b FROM part WHERE p_partkey % 2 = 1),
- x AS (SELECT DISTINCT a, b FROM s, r WHERE length(list_filter(list_intersect(string_split(a, ' '), string_split(b, ' ')), lambda w: length(w) >= 5)::VARCHAR) > 2)
- SELECT a, min(b) AS b, count(*) AS n FROM x GROUP BY a""")
+@query("j_token_overlap", """WITH s AS (SELECT DISTINCT p_name AS a, unnest(string_split(p_name, ' ')) AS w FROM part WHERE p_partkey % 2 = 0), r AS (SELECT DISTINCT p_name AS b, unnest(string_split(p_name, ' ')) AS w FROM part WHERE p_partkey % 2 = 1),
+ x AS (SELECT a, s.w, b, (SELECT count(*) FROM r z WHERE z.w = s.w) AS holders FROM s JOIN r ON s.w = r.w WHERE length(s.w) >= 5)
+ SELECT a, w AS word, b, shared FROM (SELECT *, (SELECT count(DISTINCT y.w) FROM x y WHERE y.a = x.a) AS shared FROM x) QUALIFY row_number() OVER (PARTITION BY a ORDER BY holders, w, b) = 1""")
 def token_overlap(t: Tables) -> DataFrame:
-    """Names that share a word of five letters: an equi-join on words, then one row per pair."""
+    """The best partner of names that share words of five letters: by the rarest word, then the first name that has it.
+
+    Each word is reduced to how many names hold it and the first of them before the join, so a frequent word makes a row
+    per name and not a row per pair.
+    """
     name = lambda k: t.part.where(F.col("p_partkey") % 2 == k).select("p_name").distinct()
-    tokens = lambda df, c: df.select(F.col("p_name").alias(c), F.explode(F.array_distinct(F.split("p_name", " "))).alias("w")).where(F.length("w") >= 5)
-    pairs = tokens(name(0), "a").join(tokens(name(1), "b"), "w").select("a", "b").distinct()
-    return pairs.groupBy("a").agg(F.min("b").alias("b"), F.count("*").alias("n"))
+    tokens = lambda df, c: df.select(F.col("p_name").alias(c), F.explode(F.array_distinct(F.split("p_name", " "))).alias("word")).where(F.length("word") >= 5)
+    words = tokens(name(1), "b").groupBy("word").agg(F.count("*").alias("holders"), F.min("b").alias("b"))
+    met = tokens(name(0), "a").join(words, "word").groupBy("a").agg(F.min(F.struct("holders", "word", "b")).alias("m"), F.count("*").alias("shared"))
+    return met.select("a", "m.word", "m.b", "shared")
 
 
 PRICE_LIST = ("ОБЩИЕ УСЛУГИ\nПриём врача {} — 1 {} руб.\nУдаление от 900 руб.\nМассаж спины общий\n2 000 ₽\nAB12\nАнализ крови клинический\nс забором\n4 {} руб.\n--\n500 ₽\n"
