@@ -1,9 +1,11 @@
 """Chat formatting: a hidden Markov model recovers who speaks, then turns are rendered in one form.
 
-States are the roles; a turn's observation is its speaker marker (such as `User:` or `### Assistant`), how long it is and
-how many lines it has. The model is counted on labelled turns; Viterbi finds the likeliest roles of a conversation. A
-conversation of any length is cut into blocks of turns: a block's best scores between all pairs of roles are a small
-matrix, the matrices of a conversation's blocks are joined, and each block is then decoded between its outer roles.
+States are the roles, and the model's steps are the lines of a transcript: a line's observation is its speaker marker (such
+as `User:` or `### Assistant`), how long it is, and whether a row of the table begins with it. Roles change freely where a row
+begins, and seldom inside one: there a marker has to say so. The model is counted on labelled rows; Viterbi finds the likeliest
+roles of a conversation, and neighbouring lines of one role make a turn. A conversation of any length is cut into blocks of
+rows: a block's best scores between all pairs of roles are a small matrix, the matrices of a conversation's blocks are joined,
+and each block is then decoded between its outer roles. All blocks of an Arrow batch are decoded in step.
 """
 
 from __future__ import annotations
@@ -18,16 +20,18 @@ from pyspark.sql import functions as F
 from .common import in_arrow, materialize
 
 ROLES = ("system", "user", "assistant")
-#: Turns of a block.
+#: Turn numbers of a block.
 BLOCK = 512
 SMOOTHING = 0.5
+#: Chances that the speaker changes at a line inside a row, without and with a marker, and how sure a marker is of its speaker.
+SWITCH, MARKED_SWITCH, MARKED = 0.001, 0.03, 0.999
 #: Words of speaker markers, by role.
 SPEAKERS = {"system": "system|instructions?", "user": "user|human|question|q|customer", "assistant": "assistant|ai|bot|answer|a|agent"}
 
 
 def _marker(words: str) -> str:
-    """A marker at the start of a turn: `User:`, `### Assistant`, `[system]`, `<|user|>`, `**AI**:`."""
-    return rf"(?i)^\s*(?:#{{1,4}}\s*|\[|<\|?|\*\*)?(?:{words})(?:(?:\]|\|?>|\*\*)\s*:?|\s*(?::|\n|$))"
+    """A marker at the start of a line: `User:`, `### Assistant`, `[system]`, `<|user|>`, `**AI**:`."""
+    return rf"(?i)^\s*(?:#{{1,4}}\s*|\[|<\|?|\*\*)?(?:{words})(?:(?:\]|\|?>|\*\*)\s*:?|\s*(?::|$))"
 
 
 MARKERS = {role: _marker(words) for role, words in SPEAKERS.items()}
@@ -35,24 +39,27 @@ ANY_MARKER = _marker("|".join(SPEAKERS.values()))
 NO_TURN = -1
 
 
-def _observation(text: Column) -> Column:
-    """One small string: marker, length class and line class."""
-    t = F.coalesce(text, F.lit(""))
+def _lines(text: Column) -> Column:
+    """A text's lines; null and empty texts have one empty line."""
+    return F.split(F.coalesce(text, F.lit("")), "\n")
+
+
+def _observation(line: Column, at: Column) -> Column:
+    """One small string: whether a row begins, marker, length class."""
     marker = F.lit("-")
     for role, pattern in MARKERS.items():
-        marker = F.when(t.rlike(pattern), F.lit(role)).otherwise(marker)
-    length = F.floor(F.log2(F.length(t) + 1)).cast("int")
-    lines = F.least(F.lit(4), F.length(t) - F.length(F.translate(t, "\n", ""))).cast("int")
-    return F.concat_ws("|", marker, length, lines)
+        marker = F.when(line.rlike(pattern), F.lit(role)).otherwise(marker)
+    length = F.floor(F.log2(F.length(line) + 1)).cast("string")
+    return F.concat(F.when(at == 0, F.lit("row|")).otherwise(F.lit("line|")), marker, F.lit("|"), length)
 
 
 def fit(turns: DataFrame) -> dict:
-    """Log chances from labelled turns (conv_id, turn, role, text): first role, next role, and observation by role.
+    """Log chances from labelled rows (conv_id, turn, role, text): first role, next role, and a line's observation by role.
 
     Rows with another role, or none, don't count. Counts cover all rows; there are few distinct observations.
     """
     known = turns.where(F.col("role").isin(*ROLES))
-    seen = known.groupBy("role", _observation(F.col("text")).alias("o")).agg(F.count("*").alias("n")).collect()
+    seen = known.select("role", F.explode(F.transform(_lines(F.col("text")), _observation)).alias("o")).groupBy("role", "o").agg(F.count("*").alias("n")).collect()
     per = known.groupBy("conv_id", "turn").agg(F.min("role").alias("role"))
     # Turns that follow one another by number, joined on it: no window over a whole conversation.
     a, b = per.select("conv_id", (F.col("turn") + 1).alias("turn"), F.col("role").alias("r")), per.select("conv_id", "turn", F.col("role").alias("s"))
@@ -69,66 +76,81 @@ def fit(turns: DataFrame) -> dict:
     for r in seen:
         emit[r["o"]][ROLES.index(r["role"])] += r["n"]
     total = sum(emit.values(), np.full(k, SMOOTHING))
-    # A marker names its speaker, seen in training or not.
-    loud = {m: np.log(np.array([0.98 if r == m else 0.01 for r in ROLES])) for m in ROLES}
+    # An observation that training hasn't shown says nothing of the role; a marker names its speaker, seen or not.
+    rest = (1 - MARKED) / (k - 1)
+    loud = {m: np.log(np.array([MARKED if r == m else rest for r in ROLES])) for m in ROLES}
+    move = move / move.sum(1, keepdims=True)
     return {
-        "start": np.log(start / start.sum()), "move": np.log(move / move.sum(1, keepdims=True)),
-        "emit": {o: np.log(e / total) for o, e in emit.items()}, "other": np.log(SMOOTHING / total), "loud": loud,
+        "start": np.log(start / start.sum()), "move": np.log(move), "inside": np.log((1 - SWITCH) * np.eye(k) + SWITCH * move), "marked": np.log((1 - MARKED_SWITCH) * np.eye(k) + MARKED_SWITCH * move),
+        "emit": {o: np.log(e / total) for o, e in emit.items()}, "other": np.zeros(k), "loud": loud,
     }
 
 
 def _emissions(model: dict, observation: str) -> np.ndarray:
     e = model["emit"].get(observation, model["other"])
-    marker = observation.split("|")[0]
+    marker = observation.split("|")[1]
     return e + model["loud"][marker] if marker in model["loud"] else e
 
 
-def best_path(scores: np.ndarray, start: np.ndarray, move: np.ndarray, end: int | None = None) -> np.ndarray:
-    """Viterbi: start is the score of each state before the first emission; ties go to the earlier role."""
-    n, k = scores.shape
-    back = np.zeros((n, k), dtype=np.int64)
-    now = start + scores[0]
-    for t in range(1, n):
-        via = now[:, None] + move
-        back[t] = via.argmax(0)
-        now = via.max(0) + scores[t]
-    state = int(now.argmax()) if end is None else end
-    out = np.zeros(n, dtype=np.int64)
-    for t in range(n - 1, -1, -1):
-        out[t] = state
-        state = back[t][state]
-    return out
-
-
-def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[list[dict]]:
-    """Rows of one (conv, block) after another; they are sorted by it."""
-    held: list[dict] = []
+class _Runs:
+    """Consecutive rows of one (conv, block) each, as lines: flat scores, the kind of move to each line, first line and length of each run."""
+
+    def __init__(self, table: pa.Table, model: dict):
+        conv, block = table.column("conv").to_numpy(zero_copy_only=False), table.column("block").to_numpy()
+        fresh = np.ones(len(conv), dtype=bool)
+        fresh[1:] = (conv[1:] != conv[:-1]) | (block[1:] != block[:-1])
+        lists = table.column("o").combine_chunks()
+        codes = lists.flatten().dictionary_encode()
+        listed = np.array([_emissions(model, o) for o in codes.dictionary.to_pylist()]).reshape(-1, len(ROLES))
+        self.scores = listed[codes.indices.to_numpy()]
+        self.bounds = np.concatenate([[0], np.cumsum(np.diff(lists.offsets.to_numpy()))])
+        marked = np.array([o.split("|")[1] != "-" for o in codes.dictionary.to_pylist()], dtype=np.int64)
+        self.kind = 1 + marked[codes.indices.to_numpy()]
+        self.kind[self.bounds[:-1]] = 0
+        self.row = np.flatnonzero(fresh)
+        self.first = self.bounds[self.row]
+        self.length = np.diff(np.append(self.first, len(self.scores)))
+        self.table, self.model = table, model
+
+    def steps(self) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """From the second line on: the runs that have one there, the lines, and the moves to them."""
+        moves = np.stack([self.model[c] for c in ("move", "inside", "marked")])
+        for t in range(1, int(self.length.max(initial=0))):
+            on = np.flatnonzero(self.length > t)
+            line = self.first[on] + t
+            yield on, line, moves[self.kind[line]]
+
+
+def _whole_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """Tables that end where a (conv, block) does; rows come sorted by it."""
+    held: pa.Table | None = None
     for batch in batches:
-        for row in batch.to_pylist():
-            if held and (row["conv"], row["block"]) != (held[0]["conv"], held[0]["block"]):
-                yield held
-                held = []
-            held.append(row)
-    if held:
+        if not len(batch):
+            continue
+        table = pa.Table.from_batches([batch])
+        table = table if held is None else pa.concat_tables([held, table])
+        conv, block = table.column("conv").to_numpy(zero_copy_only=False), table.column("block").to_numpy()
+        last = np.flatnonzero((conv != conv[-1]) | (block != block[-1]))
+        end = int(last[-1]) + 1 if len(last) else 0
+        if end:
+            yield table.slice(0, end)
+        held = table.slice(end)
+    if held is not None and len(held):
         yield held
 
 
-def _matrix(scores: np.ndarray, move: np.ndarray) -> np.ndarray:
-    """Best score from the role of a block's first turn to that of its last."""
-    m = np.where(np.eye(scores.shape[1], dtype=bool), scores[0][:, None], -np.inf)
-    for s in scores[1:]:
-        m = (m[:, :, None] + move[None]).max(1) + s[None]
-    return m
-
-
 def _summaries(model: dict):
+    """Per block the best score from the role of its first line to that of its last."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        out = []
-        for rows in _runs(batches):
-            scores = np.array([r["e"] for r in rows])
-            out.append((rows[0]["conv"], rows[0]["block"], _matrix(scores, model["move"]).ravel().tolist()))
-        conv, block, m = list(zip(*out, strict=True)) or ((), (), ())
-        yield pa.RecordBatch.from_arrays([pa.array(conv, pa.string()), pa.array(block, pa.int64()), pa.array(m, pa.list_(pa.float64()))], names=["conv", "block", "m"])
+        k = len(ROLES)
+        for table in _whole_runs(batches):
+            runs = _Runs(table, model)
+            m = np.where(np.eye(k, dtype=bool), runs.scores[runs.first][:, :, None], -np.inf)
+            for on, line, moves in runs.steps():
+                m[on] = (m[on][:, :, :, None] + moves[:, None]).max(2) + runs.scores[line][:, None]
+            flat = pa.ListArray.from_arrays(pa.array(np.arange(len(m) + 1, dtype=np.int32) * k * k), pa.array(m.ravel()))
+            yield pa.RecordBatch.from_arrays([table.column(c).combine_chunks().take(pa.array(runs.row)) for c in ("conv", "block")] + [flat], names=["conv", "block", "m"])
 
     return run
 
@@ -161,58 +183,68 @@ def _joiner(model: dict):
 
 
 def _decoder(model: dict):
+    """Per row the roles of its lines as runs: from (line, from 0), role, starts (whether the speaker changed there)."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        out = []
-        for rows in _runs(batches):
-            before, last = rows[0]["before"], rows[0]["last"]
-            inside = before is not None and before >= 0
-            start = model["move"][before] if inside else model["start"]
-            path = best_path(np.array([r["e"] for r in rows]), start, model["move"], last)
-            previous = before if inside else -1
-            for r, state in zip(rows, path, strict=True):
-                out.append((r["conv"], r["t"], ROLES[state], bool(state != previous)))
-                previous = state
-            if len(out) >= 20_000:
-                yield _decoded(out)
-                out = []
-        yield _decoded(out)
+        names = np.array(ROLES)
+        for table in _whole_runs(batches):
+            runs = _Runs(table, model)
+            n = len(runs.row)
+            before, last = (table.column(c).combine_chunks().take(pa.array(runs.row)).fill_null(-1).to_numpy(zero_copy_only=False) for c in ("before", "last"))
+            start = np.where((before >= 0)[:, None], model["move"][before], model["start"])
+            now = start + runs.scores[runs.first]
+            back = np.zeros((len(runs.scores), len(ROLES)), dtype=np.int8)
+            for on, line, moves in runs.steps():
+                via = now[on][:, :, None] + moves
+                back[line] = via.argmax(1)
+                now[on] = via.max(1) + runs.scores[line]
+            state = np.where(last >= 0, last, now.argmax(1))
+            path = np.zeros(len(runs.scores), dtype=np.int64)
+            for t in range(int(runs.length.max(initial=0)) - 1, -1, -1):
+                on = np.flatnonzero(runs.length > t)
+                line = runs.first[on] + t
+                path[line] = state[on]
+                state[on] = back[line, state[on]]
+            previous = np.concatenate([[-1], path[:-1]])
+            previous[runs.first] = before[:n]
+            starts = path != previous
+            cut = starts.copy()
+            cut[runs.bounds[:-1]] = True
+            at = np.flatnonzero(cut)
+            row = np.searchsorted(runs.bounds, at, side="right") - 1
+            parts = pa.StructArray.from_arrays([pa.array((at - runs.bounds[row]).astype(np.int32)), pa.array(names[path[at]]), pa.array(starts[at])], names=["from", "role", "starts"])
+            lists = pa.ListArray.from_arrays(pa.array(np.searchsorted(row, np.arange(len(table) + 1)).astype(np.int32)), parts)
+            yield pa.RecordBatch.from_arrays([*(table.column(c).combine_chunks() for c in ("conv", "t", "h")), lists], names=["conv", "t", "h", "parts"])
 
     return run
 
 
-def _decoded(out: list[tuple]) -> pa.RecordBatch:
-    columns = list(zip(*out, strict=True)) or [()] * 4
-    kinds = (pa.string(), pa.int64(), pa.string(), pa.bool_())
-    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names=["conv", "t", "role", "starts"])
-
-
 def recover_roles(turns: DataFrame, model: dict) -> DataFrame:
-    """conv_id, turn, role (recovered), starts (whether the speaker changed) and rendered, per row of turns.
+    """A row per turn found: conv_id, turn, part (from 0 in its row), role, starts (whether the speaker changed) and rendered.
 
-    Reads conv_id, turn and text; a role column is not looked at. Turns go by number, null first; rows with the same
-    conversation and number are one turn of the model (their scores add up) and get one role. A null conv_id is a
-    conversation of its own. Null and empty texts count as turns of no words. rendered is the text without its marker,
-    after a header where the speaker changed. An empty table gives no rows.
+    Reads conv_id, turn and text; a role column is not looked at. Rows go by number, null first, and those with the same
+    number by a hash of the text; lines go in order. A row whose lines have several speakers gives a part for each run of
+    one speaker, any other row one part. Rows equal in conversation, number and text are one for the model, and each gets its result. A
+    null conv_id is a conversation of its own. Null and empty texts are one empty line; long texts are read whole. rendered
+    is the lines without their markers, after a header where the speaker changed. An empty table gives no rows.
     """
     key = F.coalesce(F.concat(F.lit("="), F.col("conv_id").cast("string")), F.lit("null"))
     at = F.coalesce(F.col("turn").cast("long"), F.lit(NO_TURN)).cast("long")
-    rows = turns.select("conv_id", "turn", "text", key.alias("conv"), at.alias("t"))
-    seen = rows.select("conv", "t", _observation(F.col("text")).alias("o")).groupBy("conv", "t", "o").agg(F.count("*").alias("n"))
-    kinds = [r["o"] for r in seen.select("o").distinct().collect()]
-    table = turns.sparkSession.createDataFrame([(o, *_emissions(model, o).tolist()) for o in kinds], "o string, e0 double, e1 double, e2 double")
-    sums = [F.sum(F.col(f"e{i}") * F.col("n")).alias(f"e{i}") for i in range(len(ROLES))]
-    scores = seen.join(table, "o").groupBy("conv", "t").agg(*sums)
-    scores = materialize(scores.select("conv", "t", F.floor(F.col("t") / BLOCK).alias("block"), F.array("e0", "e1", "e2").alias("e")), "chat-scores")
-    dealt = lambda df: df.repartition("conv", "block").sortWithinPartitions("conv", "block", "t")
-    summary = in_arrow(dealt(scores), _summaries(model), "conv string, block long, m array<double>")
-    several = scores.groupBy("conv").agg(F.min("block").alias("a"), F.max("block").alias("b")).where("a <> b").select("conv")
-    long_ones = summary.join(several, "conv", "left_semi").groupBy("conv").agg(F.collect_list(F.struct("block", "m")).alias("blocks"))
+    rows = turns.select("conv_id", "turn", "text", key.alias("conv"), at.alias("t"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("h"))
+    seen = rows.select("conv", "t", "h", F.transform(_lines(F.col("text")), _observation).alias("o")).dropDuplicates(["conv", "t", "h"])
+    seen = materialize(seen.select("conv", "t", "h", F.floor(F.col("t") / BLOCK).alias("block"), "o"), "chat-lines")
+    dealt = lambda df: df.repartition("conv", "block").sortWithinPartitions("conv", "block", "t", "h")
+    several = seen.groupBy("conv").agg(F.min("block").alias("a"), F.max("block").alias("b")).where("a <> b").select("conv")
+    summary = in_arrow(dealt(seen.join(several, "conv", "left_semi")), _summaries(model), "conv string, block long, m array<double>")
+    long_ones = summary.groupBy("conv").agg(F.collect_list(F.struct("block", "m")).alias("blocks"))
     outer = in_arrow(long_ones, _joiner(model), "conv string, block long, before int, last int")
-    decoded = in_arrow(dealt(scores.join(outer, ["conv", "block"], "left")), _decoder(model), "conv string, t long, role string, starts boolean")
-    body = F.regexp_replace(F.coalesce(F.col("text"), F.lit("")), ANY_MARKER, "")
-    header = F.when(F.col("starts"), F.concat(F.lit("<|"), F.col("role"), F.lit("|>\n"))).otherwise(F.lit(""))
-    out = rows.join(decoded, ["conv", "t"])
-    return out.select("conv_id", "turn", "role", "starts", F.concat(header, F.trim(body), F.lit("\n")).alias("rendered"))
+    decoded = in_arrow(dealt(seen.join(outer, ["conv", "block"], "left")), _decoder(model), "conv string, t long, h long, parts array<struct<from:int,role:string,starts:boolean>>")
+    found = rows.join(decoded, ["conv", "t", "h"]).withColumn("lines", _lines(F.col("text"))).select("conv_id", "turn", "lines", "parts", F.posexplode("parts").alias("part", "p"))
+    end = F.coalesce(F.get("parts", F.col("part") + 1)["from"], F.size("lines"))
+    body = F.array_join(F.transform(F.slice("lines", F.col("p.from") + 1, end - F.col("p.from")), lambda x: F.regexp_replace(x, ANY_MARKER, "")), "\n")
+    header = F.when(F.col("p.starts"), F.concat(F.lit("<|"), F.col("p.role"), F.lit("|>\n"))).otherwise(F.lit(""))
+    trimmed = F.regexp_replace(body, r"^\s+|\s+$", "")
+    return found.select("conv_id", "turn", "part", F.col("p.role").alias("role"), F.col("p.starts").alias("starts"), F.concat(header, trimmed, F.lit("\n")).alias("rendered"))
 
 
 def training_turns(turns: DataFrame) -> DataFrame:

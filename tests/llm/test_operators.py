@@ -191,7 +191,8 @@ def test_mixing(edge, none, docs):
 def test_chat(spark):
     turns = spark.read.parquet(f"{SF}/conversations.parquet")
     model = chat.fit(chat.training_turns(turns))
-    got = chat.recover_roles(turns, model).toPandas().merge(turns.select("conv_id", "turn", F.col("role").alias("true")).toPandas(), on=["conv_id", "turn"])
+    found = chat.recover_roles(turns, model).toPandas()
+    got = found[found["part"] == 0].merge(turns.select("conv_id", "turn", F.col("role").alias("true")).toPandas(), on=["conv_id", "turn"])
     assert len(got) == turns.count() and (got["role"] == got["true"]).mean() > 0.9
     odd = spark.createDataFrame([(None, 0, "User: hi"), (None, 1, "Assistant: yes"), (5, None, None), (5, 3, ""), (5, 3, "")], "conv_id long, turn int, text string").withColumn("role", F.lit("clash"))
     found = chat.recover_roles(odd, model).toPandas()
@@ -200,13 +201,48 @@ def test_chat(spark):
     assert chat.recover_roles(odd.limit(0), model).count() == 0
 
 
-def test_chat_blocks_equal_one_viterbi(spark, monkeypatch):
-    rng = np.random.default_rng(5)
-    turns = spark.createDataFrame([(1, i, "x" * int(n)) for i, n in enumerate(rng.integers(1, 900, 60))], "conv_id long, turn int, text string")
+def test_chat_transcript_in_one_text(spark):
+    model = chat.fit(chat.training_turns(spark.read.parquet(f"{SF}/conversations.parquet")))
+    text = "System: be kind\nUser: hello\nand more of it\n\nAssistant: hi\nwith a second line\nUser: bye"
+    table = spark.createDataFrame([(1, 0, text), (1, 0, text), (2, 0, "### Assistant\nfirst\n**User**: second")], "conv_id long, turn int, text string")
+    got = sorted((r.conv_id, r.part, r.role, r.rendered) for r in chat.recover_roles(table, model).collect())
+    want = [(1, 0, "system", "<|system|>\nbe kind\n"), (1, 1, "user", "<|user|>\nhello\nand more of it\n"), (1, 2, "assistant", "<|assistant|>\nhi\nwith a second line\n"), (1, 3, "user", "<|user|>\nbye\n")]
+    assert got == sorted(want * 2 + [(2, 0, "assistant", "<|assistant|>\nfirst\n"), (2, 1, "user", "<|user|>\nsecond\n")])
+
+
+def test_chat_against_all_paths(spark, monkeypatch):
+    """The likeliest of all sequences of roles, by trying each; and the same in blocks of two rows."""
+    from itertools import product
+
     model = chat.fit(chat.training_turns(spark.read.parquet(f"{SF}/conversations.parquet")))
-    whole = {r.turn: r.role for r in chat.recover_roles(turns, model).collect()}
-    monkeypatch.setattr(chat, "BLOCK", 7)
-    assert {r.turn: r.role for r in chat.recover_roles(turns, model).collect()} == whole
+    rng = np.random.default_rng(5)
+    pieces = ["x" * 3, "User: a b", "y " * 40, "Assistant: no", "z " * 200, "", "[system] be"]
+    talks = [["\n".join(pieces[int(x)] for x in rng.integers(0, len(pieces), int(n))) for n in rng.integers(1, 3, 4)] for _ in range(12)]
+    table = spark.createDataFrame([(c, t, text) for c, texts in enumerate(talks) for t, text in enumerate(texts)], "conv_id long, turn int, text string")
+    kinds = {(r.conv_id, r.turn): r.o for r in table.select("conv_id", "turn", F.transform(chat._lines(F.col("text")), chat._observation).alias("o")).collect()}
+    want = {}
+    for c, texts in enumerate(talks):
+        steps = [(t, "move" if i == 0 else "inside" if "|-|" in o else "marked", chat._emissions(model, o)) for t in range(len(texts)) for i, o in enumerate(kinds[c, t])]
+        best, path = -np.inf, None
+        for roles in product(range(3), repeat=len(steps)):
+            total = model["start"][roles[0]] + steps[0][2][roles[0]]
+            for (_, kind, e), a, b in zip(steps[1:], roles, roles[1:], strict=False):
+                total += model[kind][a, b] + e[b]
+            if total > best + 1e-12:
+                best, path = total, roles
+        for (t, _, _), r in zip(steps, path, strict=True):
+            want.setdefault((c, t), []).append(chat.ROLES[r])
+    runs = lambda roles: [r for i, r in enumerate(roles) if i == 0 or r != roles[i - 1]]
+
+    def found():
+        out = {}
+        for r in sorted(chat.recover_roles(table, model).collect(), key=lambda r: r.part):
+            out.setdefault((r.conv_id, r.turn), []).append(r.role)
+        return out
+
+    assert found() == {k: runs(v) for k, v in want.items()}
+    monkeypatch.setattr(chat, "BLOCK", 2)
+    assert found() == {k: runs(v) for k, v in want.items()}
 
 
 def _brute_repeats(rows, window):
