@@ -12,6 +12,11 @@ LEGAL_FORMS = ("ооо", "ип", "ао", "зао", "оао", "пао", "нко",
 NAME_STOP_WORDS = ("клиника", "центр", "медицинский", "медицинская", "медицинское", "мц", "«", "»")
 UNITS = r"(?:см|мм|мл|ml|г|кв\.?\s*см)"
 COUNTED = r"(?:эл(?:емент(?:ов|а)?)?|ед|шт|процедур[аы]?|зон[аы]?|этап(?:ная|а)?)"
+NUMBER = r"\d+(?:[,.]\d+)?"
+SIZES = (
+    rf"(?:от\s+)?{NUMBER}\s*(?:-|–|до)\s*{NUMBER}\s*{UNITS}", rf"{NUMBER}\s*{UNITS}", rf"(?:от|до|св\.?|свыше)\s+{NUMBER}(?:\s*(?:см|мм|мл|ml))?", r"№\s*\d+(?:\s*-\s*\d+)?",
+    rf"\d+\s*{COUNTED}\b\.?", r"\d+\s*кат\.?\s*сложности", r"за\s+1\s+ед\.?", r"\bмелких\b", r"\bкрупных\b",
+)
 MODIFIERS = (
     r"первичн\w+", r"повторн\w+", r"амбулаторн\w+", r"лечебно-диагностическ\w+", r"\d\s*(?:степени|категории)\s*сложности",
     r"высшей категории", r"\d\s*категории", r"с выдачей плана(?: лечения)?", r"с назначением лечения", r"кмн", r"дмн",
@@ -32,15 +37,6 @@ def squeeze(c: Column) -> Column:
     return F.trim(F.regexp_replace(c, U + r"\s+", " "))
 
 
-def _sizes() -> str:
-    number = r"\d+(?:[,.]\d+)?"
-    return "|".join([
-        rf"(?:от\s+)?{number}\s*(?:-|–|до)\s*{number}\s*{UNITS}", rf"{number}\s*{UNITS}",
-        rf"(?:от|до|св\.?|свыше)\s+{number}(?:\s*(?:см|мм|мл|ml))?", r"№\s*\d+(?:\s*-\s*\d+)?",
-        rf"\d+\s*{COUNTED}\b\.?", r"\d+\s*кат\.?\s*сложности", r"за\s+1\s+ед\.?", r"\bмелких\b", r"\bкрупных\b",
-    ])
-
-
 def service_name(c: Column) -> Column:
     """The key under which spellings of one service meet: sizes, brackets, tails and modifiers go, kinds of visit are one.
 
@@ -51,7 +47,7 @@ def service_name(c: Column) -> Column:
     s = F.replace(F.lower(F.coalesce(c, F.lit(""))), F.lit("ё"), F.lit("е"))
     s = F.regexp_replace(s, r"\([^)]*\)", " ")
     s = F.substring_index(s, "/", 1)
-    s = F.regexp_replace(s, UI + "(?:" + _sizes() + ")", " ")
+    s = F.regexp_replace(s, UI + "(?:" + "|".join(SIZES) + ")", " ")
     s = tidy(F.regexp_replace(s, "[«»\"'.,;:№]", " "))
     s = tidy(F.regexp_replace(s, U + r"\b(?:" + "|".join(MODIFIERS) + r")\b", " "))
     return tidy(F.regexp_replace(s, U + rf"^(?:{VISIT_WORDS})(?:\s+(?:осмотр|консультация))*\s*(?:врача[-\s]*)?", "прием "))
