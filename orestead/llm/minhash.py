@@ -150,13 +150,16 @@ def _prefix_pairs(rows: DataFrame, k: int, percent: int) -> DataFrame:
     tokens = materialize(in_arrow(rows.select("node", "component", "members", "text"), prefixes, schema), "mh-prefix")
     apart = F.min("component") != F.max("component")
     met = tokens.groupBy("token").agg(apart.alias("apart")).where("apart").select("token")
-    tokens = tokens.join(met, "token")
-    x = tokens.where("small")
-    y = tokens.where("upto >= least").withColumn("band", F.explode(F.sequence("least", "upto"))).withColumn("small", F.lit(False))
-    met_in = materialize(x.unionByName(y).drop("upto", "least"), "mh-bands")
+    shared_ones = tokens.join(met, "token")
+    x = shared_ones.where("small")
+    y = shared_ones.where("upto >= least").withColumn("band", F.explode(F.sequence("least", "upto"))).withColumn("small", F.lit(False))
+    banded = materialize(x.unionByName(y).drop("upto", "least"), "mh-bands")
+    discard(tokens)
     sides = F.bool_or("small") & F.bool_or(~F.col("small"))
-    groups = met_in.groupBy("token", "band").agg((apart & sides).alias("apart"), F.max(F.struct("members", "component"))["component"].alias("main")).where("apart").select("token", "band", "main")
-    met_in = met_in.join(groups, ["token", "band"]).withColumn("foreign", F.col("component") != F.col("main"))
+    groups = banded.groupBy("token", "band").agg((apart & sides).alias("apart"), F.max(F.struct("members", "component"))["component"].alias("main")).where("apart").select("token", "band", "main")
+    # Few groups hold anything to compare; the joins below read those only.
+    met_in = materialize(banded.join(groups, ["token", "band"]).withColumn("foreign", F.col("component") != F.col("main")), "mh-meet")
+    discard(banded)
     named = lambda side: met_in.where("small" if side == "x" else "not small").select("token", "band", *[F.col(c).alias(f"{c}_{side}") for c in ("before", "node", "component", "n", "at", "foreign")])
     ordered = F.expr("(n_x < n_y or (n_x = n_y and node_x < node_y)) and component_x <> component_y")
     reach = F.expr(f"{100 + percent} * least(n_x - at_x, n_y - at_y) >= {percent} * (n_x + n_y) and 100 * n_x >= {percent} * n_y")
@@ -215,8 +218,8 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
 
     def compared(candidates: DataFrame, last: bool = False) -> bool:
         """Verifies pairs that haven't been, and redraws components and open buckets; whether a good part was linked."""
-        for c in checked:
-            candidates = candidates.join(c.select("a", "b"), ["a", "b"], "left_anti")
+        if checked:
+            candidates = candidates.join(_united(checked).select("a", "b"), ["a", "b"], "left_anti")
         checked.append(verified(candidates))
         met = checked[-1].agg(F.count("*").alias("n"), F.coalesce(F.sum(F.col("linked").cast("long")), F.lit(0)).alias("linked")).first()
         if not met["linked"]:
