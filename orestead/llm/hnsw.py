@@ -25,6 +25,9 @@ CANDIDATES = 64
 EF = 96
 QUERY_BLOCK = 2048
 _STEP = 256
+#: Columns looked at for a bound are one in so many; nodes that a query expands in a step.
+_SPARSE = 8
+_WIDE = 8
 
 
 def usable(c: Column) -> Column:
@@ -33,6 +36,33 @@ def usable(c: Column) -> Column:
     return F.coalesce(~bad & F.exists(c, lambda x: x != 0), F.lit(False))
 
 
+def _scaled(x: np.ndarray, axis: int | None = None) -> np.ndarray:
+    """x times a power of two, for all or by row, that puts its largest component under 1: float32 can't overflow."""
+    _, power = np.frexp(np.abs(x).max(axis=axis, keepdims=True))
+    return np.ldexp(x, -power)
+
+
+def _largest(value: np.ndarray, own: np.ndarray, k: int) -> np.ndarray:
+    """(rows, k): where the k largest of each row are, not in order and without the row's own place.
+
+    The k-th largest of every _SPARSE-th column bounds the k-th largest of all from below, so only the few that reach
+    it are partitioned.
+    """
+    value[np.arange(len(value)), own] = -np.inf
+    some = value[:, ::_SPARSE]
+    if some.shape[1] <= 2 * k:
+        return np.argpartition(-value, k - 1, axis=1)[:, :k]
+    bound = np.partition(some, some.shape[1] - k, axis=1)[:, some.shape[1] - k]
+    row, column = np.divmod(np.flatnonzero(value >= bound[:, None]), value.shape[1])
+    count = np.bincount(row, minlength=len(value))
+    place = np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count)
+    reach = np.full((len(value), count.max()), -np.inf, dtype=value.dtype)
+    reach[row, place] = value[row, column]
+    at = np.zeros(reach.shape, dtype=np.int64)
+    at[row, place] = column
+    return np.take_along_axis(at, np.argpartition(-reach, k - 1, axis=1)[:, :k], 1)
+
+
 def _select(points: np.ndarray, members: np.ndarray, degree: int) -> np.ndarray:
     """(members, degree): diverse nearest neighbours of each member among the members, by blocked exact distances."""
     n = len(members)
@@ -41,22 +71,21 @@ def _select(points: np.ndarray, members: np.ndarray, degree: int) -> np.ndarray:
         return out
     x = points[members]
     square = (x * x).sum(1)
+    # left[a] @ right[b] is the product less half of b's square: the larger, the nearer is b to a.
+    left, right = np.concatenate([x, np.ones((n, 1), x.dtype)], 1), np.concatenate([x, -square[:, None] / 2], 1)
     k = min(CANDIDATES, n - 1)
     for lo in range(0, n, _STEP):
         hi = min(lo + _STEP, n)
-        d = square[None, :] - 2 * (x[lo:hi] @ x.T)
-        d[np.arange(hi - lo), np.arange(lo, hi)] = np.inf
-        near = np.argpartition(d, k - 1, axis=1)[:, :k]
-        own = np.take_along_axis(d, near, 1)
-        order = np.argsort(own, axis=1, kind="stable")
-        near, own = np.take_along_axis(near, order, 1), np.take_along_axis(own, order, 1) + square[lo:hi, None]
-        v = x[near]
-        between = square[near][:, :, None] + square[near][:, None, :] - 2 * np.einsum("qad,qbd->qab", v, v)
-        taken = np.zeros((hi - lo, k), dtype=bool)
+        near = _largest(left[lo:hi] @ right.T, np.arange(lo, hi), k)
+        own = square[near] - 2 * np.matmul(left.take(near, axis=0), right[lo:hi, :, None])[:, :, 0]
+        near = np.take_along_axis(near, np.argsort(own, axis=1, kind="stable"), 1)
+        v = left.take(near, axis=0)
+        nearer = np.matmul(v, right.take(near, axis=0).transpose(0, 2, 1)) > np.matmul(v, right[lo:hi, :, None])
+        taken, count = np.zeros((hi - lo, k), dtype=bool), np.zeros(hi - lo, dtype=int)
         for j in range(k):
             # A candidate nearer to one already taken than to the node itself is passed over.
-            blocked = (taken & (between[:, j, :] < own[:, j, None])).any(1)
-            taken[:, j] = ~blocked & (taken.sum(1) < degree)
+            taken[:, j] = ~(taken & nearer[:, j]).any(1) & (count < degree)
+            count += taken[:, j]
         for j in range(k):  # fill up with the nearest of those passed over
             taken[:, j] |= taken.sum(1) < degree // 2
         rank = np.cumsum(taken, 1) - 1
@@ -73,7 +102,9 @@ def _mutual(members: np.ndarray, links: np.ndarray, points: np.ndarray, degree:
     a, b = np.concatenate([own, other]), np.concatenate([other, own])
     pair = np.unique(a * n + b)
     a, b = pair // n, pair % n
-    gap = ((points[a] - points[b]) ** 2).sum(1)
+    gap = points.take(a, axis=0)
+    gap -= points.take(b, axis=0)
+    gap = np.einsum("ij,ij->i", gap, gap)
     order = np.lexsort((gap, a))
     a, b = a[order], b[order]
     first = np.searchsorted(a, np.arange(n))
@@ -86,7 +117,7 @@ def _mutual(members: np.ndarray, links: np.ndarray, points: np.ndarray, degree:
 
 def build(vectors: np.ndarray, seed: int = 0) -> dict[str, np.ndarray]:
     """The graph over distinct vectors: flat neighbours, first position and width of each level, entry node."""
-    n = len(vectors)
+    n, vectors = len(vectors), _scaled(vectors)
     norm = (vectors * vectors).sum(1)
     points = np.concatenate([vectors, np.sqrt(np.maximum(norm.max() - norm, 0))[:, None]], 1).astype(np.float32)
     level = np.floor(-np.log(np.random.default_rng(seed).random(n) + 1e-12) / math.log(DEGREE)).astype(int)
@@ -105,7 +136,7 @@ def build(vectors: np.ndarray, seed: int = 0) -> dict[str, np.ndarray]:
 def search(vectors: np.ndarray, graph: dict[str, np.ndarray], queries: np.ndarray, ef: int) -> np.ndarray:
     """(queries, ef): nodes found, by largest inner product first; -1 where there are fewer. Queries go in step."""
     n, nq = len(vectors), len(queries)
-    v, q = vectors.astype(np.float32), queries.astype(np.float32)
+    v, q = _scaled(vectors).astype(np.float32), _scaled(queries, 1).astype(np.float32)
     width, first, flat = graph["width"], graph["first"], graph["neighbours"]
     table = [flat[first[i] : first[i + 1]].reshape(n, width[i]) for i in range(len(width))]
     rows = np.arange(nq)
@@ -128,26 +159,32 @@ def search(vectors: np.ndarray, graph: dict[str, np.ndarray], queries: np.ndarra
     value = np.full((nq, ef), -np.inf, dtype=np.float32)
     open_ = np.zeros((nq, ef), dtype=bool)
     node[:, 0], value[:, 0], open_[:, 0] = best, score, True
-    seen = np.zeros((nq, n), dtype=bool)
-    seen[rows, best] = True
-    active = rows
+    seen = np.full(nq * n, -1, dtype=np.int32)
+    seen[rows * n + best] = 0
+    active, wide = rows, min(_WIDE, ef)
     while len(active):
         candidate = np.where(open_[active], value[active], -np.inf)
-        j = candidate.argmax(1)
-        going = candidate[np.arange(len(active)), j] > -np.inf
-        active, j = active[going], j[going]
+        j = np.argpartition(-candidate, wide - 1, axis=1)[:, :wide]
+        going = np.take_along_axis(candidate, j, 1) > -np.inf
+        some = going.any(1)
+        active, j, going = active[some], j[some], going[some]
         if not len(active):
             break
-        at = node[active, j]
-        open_[active, j] = False
-        near = table[0][at]
-        fresh = (near >= 0) & ~seen[active[:, None], near]
-        seen[active[:, None], np.where(near >= 0, near, at[:, None])] = True
-        s = np.einsum("qmd,qd->qm", v[near], q[active])
-        s[~fresh] = -np.inf
+        open_[active[:, None], j] = False
+        near = np.where(going[:, :, None], table[0][node[active[:, None], j]], -1).reshape(len(active), -1)
+        # What two of the expanded nodes share is taken once: at the place that is written last.
+        place = np.flatnonzero(near.ravel() >= 0)
+        key = active[place // near.shape[1]] * n + near.ravel()[place]
+        new = seen[key] < 0
+        place, key = place[new], key[new]
+        seen[key] = place
+        once = seen[key] == place
+        place = place[once]
+        s = np.full(near.shape, -np.inf, dtype=np.float32)
+        s.ravel()[place] = np.einsum("ij,ij->i", v.take(near.ravel()[place], axis=0), q.take(active[place // near.shape[1]], axis=0))
         all_node = np.concatenate([node[active], near], 1)
         all_value = np.concatenate([value[active], s], 1)
-        all_open = np.concatenate([open_[active], fresh], 1)
+        all_open = np.concatenate([open_[active], s > -np.inf], 1)
         top = np.argpartition(-all_value, ef - 1, axis=1)[:, :ef]
         node[active], value[active], open_[active] = (np.take_along_axis(x, top, 1) for x in (all_node, all_value, all_open))
     node = np.where(np.isfinite(value), node, -1)
@@ -210,15 +247,19 @@ def _searcher(k: int, ef: int):
             part = block.iloc[lo : lo + _STEP]
             q = np.stack(part["vector"].to_numpy()).astype(np.float64)
             found = search(vectors, graph, q, max(ef, k + 1))
-            for i, (own, asked) in enumerate(zip(part["vec_id"].to_numpy(), part["asked"].to_numpy(), strict=True)):
-                nodes = found[i][found[i] >= 0]
-                score = (vectors[nodes] * q[i]).sum(1)
-                size = stop[nodes] - start[nodes]
-                at = np.repeat(start[nodes] - (np.cumsum(size) - size), size) + np.arange(size.sum())
-                vec, value = ids[at], np.repeat(score, size)
-                vec, value = vec[vec != own], value[vec != own]
-                best = np.lexsort((vec, -value))[:k]
-                parts.append(pd.DataFrame({"query_id": np.full(len(best), own), "asked": np.full(len(best), asked), "vec_id": vec[best], "score": value[best]}))
+            own, asked = part["vec_id"].to_numpy(), part["asked"].to_numpy()
+            row, column = np.nonzero(found >= 0)
+            nodes = found[row, column]
+            score = (vectors[nodes] * q[row]).sum(1)
+            size = stop[nodes] - start[nodes]
+            at = np.repeat(start[nodes] - (np.cumsum(size) - size), size) + np.arange(size.sum())
+            row, vec, value = np.repeat(row, size), ids[at], np.repeat(score, size)
+            other = vec != own[row]
+            row, vec, value = row[other], vec[other], value[other]
+            order = np.lexsort((vec, -value, row))
+            count = np.bincount(row, minlength=len(q))
+            best = order[np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count) < k]
+            parts.append(pd.DataFrame({"query_id": own[row[best]], "asked": asked[row[best]], "vec_id": vec[best], "score": value[best]}))
         return pd.concat(parts, ignore_index=True)
 
     return run

@@ -439,6 +439,15 @@ def test_nearest_of_ids_with_several_vectors(spark):
     assert sorted(r.score for r in got if r.query_id == 20 and r.rank == 1) == [5.0, 9.0]
 
 
+def test_graph_of_huge_components():
+    rng = np.random.default_rng(4)
+    v = rng.normal(size=(700, 12)) * np.exp(rng.normal(size=(700, 1)))
+    want = np.argsort(-(v[:40] @ v.T), axis=1)[:, :10]
+    for scale in (1.0, 1e25, 1e-30):
+        found = hnsw.search(v * scale, hnsw.build(v * scale), v[:40] * scale, 64)[:, :10]
+        assert np.mean([len(set(a) & set(b)) for a, b in zip(found, want, strict=True)]) >= 9.5
+
+
 def test_language_against_plain_out_of_place(spark, docs):
     profiles = language.learn(docs)
 
