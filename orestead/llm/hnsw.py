@@ -1,6 +1,8 @@
 """Approximate nearest neighbours: a hierarchical navigable small-world graph per shard.
 
-Vectors are dealt to shards of a bounded size by a hash of their id. In a shard, equal vectors are one node. Nodes get a
+Vectors are dealt to shards of a bounded size. Where they gather round middles, a shard holds what is nearest to one
+middle, and a query meets only the shards of its nearest middles: as many as the exact neighbours of some queries need.
+Where they don't, shards go by a hash of the id, and every query meets each. In a shard, equal vectors are one node. Nodes get a
 level with a geometric distribution; on each level every node keeps up to DEGREE (twice that on the lowest) neighbours,
 chosen with the usual diversity rule among its nearest nodes and then made mutual. The graph is stored as flat arrays:
 neighbours level by level, -1 where there is none. All queries of a block descend together, and the shards' results
@@ -11,19 +13,25 @@ shard equal, so that the nearest in Euclidean distance has the largest product.
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import materialize, ship
+from .common import discard, in_arrow, int_lists, materialize, mix, ship
 
 SHARD_SIZE = 4096
 DEGREE = 16
 CANDIDATES = 64
 EF = 96
 QUERY_BLOCK = 2048
+#: Numbers in the rows that middles are learnt from, and rows for a middle at least; queries whose exact neighbours are found.
+FIT_NUMBERS, FIT_EACH, FIT_QUERIES = 1 << 20, 8, 256
+#: The share of those neighbours that the shards met must hold. Fewer shards than FEW, or a larger part of them to meet than MOST: all are met.
+COVERED, FEW, MOST = 0.99, 8, 0.75
 _STEP = 256
 #: Columns looked at for a bound are one in so many; nodes that a query expands in a step.
 _SPARSE = 8
@@ -191,6 +199,163 @@ def search(vectors: np.ndarray, graph: dict[str, np.ndarray], queries: np.ndarra
     return np.take_along_axis(node, np.argsort(-value, axis=1, kind="stable"), 1)
 
 
+def _matrix(column: pa.Array, dim: int) -> np.ndarray:
+    return np.asarray(column.flatten(), dtype=np.float64).reshape(-1, dim)
+
+
+class Route:
+    """Which shards a row lies in and a query meets: those of the middles nearest to it.
+
+    Rows are put on a sphere by one more component, as for the graphs, of the norm that 99 % of the sample keep. Rows much
+    longer than that have large products in many directions; they lie apart, as after the last middle, and all queries
+    meet them.
+    """
+
+    LONG = 1.5
+
+    def __init__(self, sample: np.ndarray, cells: int):
+        self.dim, self.top = sample.shape[1], (1.0, 0)
+        norm, power = self._norm(sample)[1:]
+        at = np.lexsort((norm, power))[(len(norm) - 1) * 99 // 100]
+        self.top = float(norm[at]), int(power[at])
+        points = self._place(sample)[0]
+        self.middles = points[np.random.default_rng(0).choice(len(points), cells, replace=False)]
+        for _ in range(8):
+            cell = self._order(points, 1)[:, 0]
+            count = np.bincount(cell, minlength=cells)
+            total = np.zeros(self.middles.shape)
+            np.add.at(total, cell, points)
+            self.middles[count > 0] = (total[count > 0] / count[count > 0, None]).astype(np.float32)
+
+    @staticmethod
+    def _norm(x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Rows of length 1, and their lengths as fractions and powers of two."""
+        small = _scaled(x, 1)
+        norm, more = np.frexp(np.sqrt((small * small).sum(1)))
+        return small / np.ldexp(norm, more)[:, None], norm, more + np.frexp(np.abs(x).max(1))[1]
+
+    def _place(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Points on the sphere, and which rows are long."""
+        unit, norm, power = self._norm(x)
+        length = np.ldexp(norm / self.top[0], np.clip(power - self.top[1], -99, 99))
+        r = np.minimum(length, 1)[:, None]
+        return np.concatenate([unit * r, np.sqrt(1 - r * r)], 1).astype(np.float32), length > self.LONG
+
+    def _order(self, points: np.ndarray, n: int) -> np.ndarray:
+        """(points, n): the nearest middles, nearest first."""
+        score = points @ self.middles.T - (self.middles * self.middles).sum(1) / 2
+        if n == 1:
+            return score.argmax(1)[:, None]
+        return np.argsort(-score, axis=1, kind="stable")[:, :n]
+
+    def cells(self, x: np.ndarray) -> np.ndarray:
+        points, long = self._place(x)
+        return np.where(long, len(self.middles), self._order(points, 1)[:, 0])
+
+    def ranked(self, queries: np.ndarray) -> np.ndarray:
+        unit, n = self._norm(queries)[0], len(self.middles)
+        order = self._order(np.concatenate([unit, np.zeros((len(unit), 1))], 1).astype(np.float32), n)
+        return np.concatenate([np.full((len(unit), 1), n), order], 1)
+
+    def split(self, rows: np.ndarray, met: int, shard_size: int) -> None:
+        """Sets how many middles a query meets; a middle with too many rows has several shards, by a hash of the id."""
+        self.rows, self.met, self.shard_size = rows, met, shard_size
+        self.shards = np.maximum(1, np.round(rows / shard_size)).astype(np.int64)
+        self.first = np.cumsum(self.shards) - self.shards
+
+    def deal(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            if b.num_rows:
+                cell = self.cells(_matrix(b.column("vector"), self.dim))
+                part = mix(b.column("vec_id").to_numpy().astype(np.uint64)) % self.shards[cell].astype(np.uint64)
+                yield pa.RecordBatch.from_arrays([*b.columns, pa.array((self.first[cell] + part.astype(np.int64)).astype(np.int32))], [*b.schema.names, "shard"])
+
+    def meet(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            if b.num_rows:
+                order = self.ranked(_matrix(b.column("vector"), self.dim))
+                # Further middles follow until the rows of a whole shard are met, or all.
+                before = np.cumsum(self.rows[order], 1) - self.rows[order]
+                take = ((np.arange(order.shape[1]) < self.met) | (before < self.shard_size)) & (self.rows[order] > 0)
+                row, at = np.nonzero(take)
+                cell = order[row, at]
+                n = self.shards[cell]
+                shard = np.repeat(self.first[cell] - (np.cumsum(n) - n), n) + np.arange(n.sum())
+                bounds = np.concatenate([[0], np.cumsum(np.bincount(row, n, len(order)).astype(np.int64))])
+                yield pa.RecordBatch.from_arrays([*b.columns, int_lists(shard.astype(np.int32), bounds)], [*b.schema.names, "shards"])
+
+
+def _exact(route: Route, ids: np.ndarray, queries: np.ndarray, k: int):
+    """The k nearest of each query in a partition, with their middles; under query -1 the rows of each middle."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = np.zeros(len(route.middles) + 1, dtype=np.int64)
+        best = [np.full((len(ids), k), x) for x in (-np.inf, -1, -1)]
+        for b in batches:
+            if not b.num_rows:
+                continue
+            x, own = _matrix(b.column("vector"), route.dim), b.column("vec_id").to_numpy()
+            cell = route.cells(x)
+            rows += np.bincount(cell, minlength=len(rows))
+            score = queries @ x.T
+            score[ids[:, None] == own[None, :]] = -np.inf
+            at = np.argpartition(-score, min(k, len(own)) - 1, axis=1)[:, :k]
+            new = np.take_along_axis(score, at, 1), own[at], cell[at]
+            both = [np.concatenate([a, n], 1) for a, n in zip(best, new, strict=True)]
+            top = np.argpartition(-both[0], k - 1, axis=1)[:, :k]
+            best = [np.take_along_axis(x, top, 1) for x in both]
+        q, j = np.nonzero(best[0] > -np.inf)
+        some = np.flatnonzero(rows)
+        columns = (np.concatenate([q, np.full(len(some), -1)]), np.concatenate([best[1][q, j], some]), np.concatenate([best[0][q, j], rows[some]]), np.concatenate([best[2][q, j], some]))
+        yield pa.RecordBatch.from_arrays([pa.array(c.astype(t)) for c, t in zip(columns, ("i4", "i8", "f8", "i4"), strict=True)], ["query", "vec_id", "score", "cell"])
+
+    return run
+
+
+def plan_route(rows: DataFrame, asked: DataFrame, k: int, shard_size: int = SHARD_SIZE) -> Route | None:
+    """The route if queries need to meet only a part of the shards; None if all are to be met.
+
+    Middles are learnt from a sample of at most about FIT_NUMBERS numbers. How many of them a query meets is measured: the
+    exact neighbours of about FIT_QUERIES queries are found among all rows, and COVERED of them must lie in what is met.
+    """
+    n, least, most = rows.agg(F.count(F.lit(1)), F.min(F.size("vector")), F.max(F.size("vector"))).first()
+    if n <= FEW * shard_size or least != most:
+        return None
+
+    def some(df: DataFrame, most_rows: int, total: int) -> pa.Table:
+        at = F.pmod(F.xxhash64(F.lit(2), "vec_id", "vector"), F.lit(1 << 30))
+        return df.where(at < F.lit(int(min(1, most_rows / total) * (1 << 30)))).select("vec_id", "vector").toArrow()
+
+    ours = asked.where(F.size("vector") == least)
+    total = ours.count()
+    if not total:
+        return None
+    tried = some(ours, FIT_QUERIES, total).combine_chunks()
+    fit = some(rows, max(FIT_NUMBERS // least, 1), n).combine_chunks()
+    if not tried.num_rows or not fit.num_rows:
+        return None
+    sample = np.unique(_matrix(fit.column("vector").combine_chunks(), least), axis=0)
+    cells = min(math.ceil(n / shard_size), len(sample) // FIT_EACH)
+    if cells < 2:
+        return None
+    route = Route(sample, cells)
+    ids, queries = tried.column("vec_id").to_numpy(), _matrix(tried.column("vector").combine_chunks(), least)
+    found = materialize(in_arrow(rows.select("vec_id", "vector"), _exact(route, ids, queries, k), "query int, vec_id long, score double, cell int"), "hnsw-exact")
+    best = Window.partitionBy("query").orderBy(F.desc("score"), "vec_id")
+    near = found.where("query >= 0").withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query", "cell").collect()
+    count = np.zeros(cells + 1, dtype=np.int64)
+    for r in found.where("query < 0").groupBy("cell").agg(F.sum("score").alias("rows")).collect():
+        count[r["cell"]] = r["rows"]
+    discard(found)
+    place = np.argsort(route.ranked(queries), axis=1)
+    held = np.cumsum(np.bincount(np.array([place[r["query"], r["cell"]] for r in near], dtype=int), minlength=cells + 1))
+    met = int(np.searchsorted(held, COVERED * held[-1])) + 1
+    if met > MOST * cells:
+        return None
+    route.split(count, met, shard_size)
+    return route
+
+
 def _indexer(keep: int):
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("vec_id", kind="stable")
@@ -217,14 +382,17 @@ def _indexer(keep: int):
 INDEX = "shard int, dim int, nodes long, vectors binary, ids binary, node_of binary, neighbours binary, first binary, width binary, entry binary"
 
 
-def build_index(rows: DataFrame, shard_size: int = SHARD_SIZE, keep: int = 21) -> DataFrame:
+def build_index(rows: DataFrame, shard_size: int = SHARD_SIZE, keep: int = 21, route: Route | None = None) -> DataFrame:
     """A row per shard with its vectors and flat graph arrays, from rows of vec_id and vector (usable ones).
 
     The number of shards follows the number of rows, so that a shard's arrays stay bounded.
     """
     ship(rows.sparkSession)
-    shards = max(1, math.ceil(rows.count() / shard_size))
-    dealt = rows.withColumn("shard", (F.size("vector") * F.lit(shards) + F.pmod(F.xxhash64("vec_id"), F.lit(shards))).cast("int"))
+    if route is None:
+        shards = max(1, math.ceil(rows.count() / shard_size))
+        dealt = rows.withColumn("shard", (F.size("vector") * F.lit(shards) + F.pmod(F.xxhash64("vec_id"), F.lit(shards))).cast("int"))
+    else:
+        dealt = in_arrow(rows, route.deal, "vec_id long, vector array<double>, shard int")
     return dealt.groupBy("shard").applyInPandas(_indexer(keep), INDEX)
 
 
@@ -272,17 +440,23 @@ def nearest(rows: DataFrame, queries: DataFrame, k: int = 20, ef: int = EF, shar
     nearest first, ties to the smaller vec_id. Null ids and vectors that aren't usable() take no part, vectors of another
     length than a query's have no product with it, and shards hold one length each. Rows that repeat an id and a vector
     count once; rows of one id with several vectors are candidates each, and as queries each is answered with ranks of its
-    own. Fewer rows than k give all there are. Every block of queries meets every shard, as a grouped task.
+    own. Fewer rows than k give all there are. Each shard meets its queries in blocks, as grouped tasks.
     """
-    ok = lambda df: df.where(usable(F.col("vector")) & F.col("vec_id").isNotNull()).select("vec_id", F.col("vector").cast("array<double>").alias("vector"))
-    rows = ok(rows).dropDuplicates(["vec_id", "vector"])
-    index = materialize(build_index(rows, shard_size, k + 1), "hnsw")
+    ok = lambda df: df.where(usable(F.col("vector")) & F.col("vec_id").isNotNull()).select(F.col("vec_id").cast("long").alias("vec_id"), F.col("vector").cast("array<double>").alias("vector"))
+    rows = materialize(ok(rows).dropDuplicates(["vec_id", "vector"]), "hnsw-rows")
     asked = materialize(ok(queries).dropDuplicates(["vec_id", "vector"]).withColumn("asked", F.xxhash64("vector")), "hnsw-queries")
-    blocks = max(1, math.ceil(asked.count() / QUERY_BLOCK))
-    shards = [r["shard"] for r in index.select("shard").collect()]
-    asked = asked.withColumn("block", F.pmod(F.xxhash64(F.lit(1), "vec_id"), F.lit(blocks)).cast("int"))
-    asked = asked.select("*", F.explode(F.lit(shards) if shards else F.array().cast("array<int>")).alias("shard"))
-    spread = index.select("*", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"))
+    route = plan_route(rows, asked, k, shard_size)
+    index = materialize(build_index(rows, shard_size, k + 1, route), "hnsw")
+    discard(rows)
+    if route is None:
+        shards = [r["shard"] for r in index.select("shard").collect()]
+        met = asked.select("*", F.explode(F.lit(shards) if shards else F.array().cast("array<int>")).alias("shard"))
+    else:
+        met = in_arrow(asked.where(F.size("vector") == route.dim), route.meet, "vec_id long, vector array<double>, asked long, shards array<int>")
+        met = met.select("vec_id", "vector", "asked", F.explode("shards").alias("shard"))
+    blocks = materialize(met.groupBy("shard").agg(F.ceil(F.count(F.lit(1)) / QUERY_BLOCK).cast("int").alias("blocks")), "hnsw-blocks")
+    asked = met.join(F.broadcast(blocks), "shard").withColumn("block", F.pmod(F.xxhash64(F.lit(1), "vec_id"), F.col("blocks")).cast("int")).drop("blocks")
+    spread = index.join(F.broadcast(blocks), "shard").withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).drop("blocks")
     found = spread.groupBy("shard", "block").cogroup(asked.groupBy("shard", "block")).applyInPandas(_searcher(k, ef), "query_id long, asked long, vec_id long, score double")
     best = Window.partitionBy("query_id", "asked").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

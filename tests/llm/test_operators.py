@@ -439,6 +439,39 @@ def test_nearest_of_ids_with_several_vectors(spark):
     assert sorted(r.score for r in got if r.query_id == 20 and r.rank == 1) == [5.0, 9.0]
 
 
+def test_nearest_meets_the_shards_of_its_middles(spark):
+    rng = np.random.default_rng(6)
+    middle = rng.normal(size=(40, 24))
+    group = np.where(rng.random(6000) < 0.3, 0, rng.integers(0, 40, 6000))
+    v = (middle[group] + 0.2 * rng.normal(size=(6000, 24))) * rng.uniform(0.5, 1.5, (6000, 1))
+    v[100:400] = v[100]
+    v[400] *= 1e30
+    schema = "vec_id long, vector array<double>"
+    df = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(v)], schema)
+    asked = df.where("vec_id % 20 = 0")
+    route = hnsw.plan_route(df, asked, 20, shard_size=200)
+    assert route.rows.sum() == 6000 and max(route.rows / route.shards) <= 300
+    met = {r.vec_id: r.shards for r in hnsw.in_arrow(asked, route.meet, f"{schema}, shards array<int>").collect()}
+    assert set(met) == set(range(0, 6000, 20)) and all(len(set(x)) == len(x) for x in met.values())
+    dealt = {r.vec_id: r.shard for r in hnsw.in_arrow(df, route.deal, f"{schema}, shard int").collect()}
+    assert sorted(dealt) == list(range(6000)) and set(dealt.values()) <= set(range(route.shards.sum()))
+    assert np.mean([len(x) for x in met.values()]) < 0.5 * route.shards.sum()
+    got = hnsw.nearest(df, asked, k=20, shard_size=200).toPandas()
+    hit = 0
+    for q, g in got.groupby("query_id"):
+        s = (v * v[q]).sum(1)
+        s[q] = -np.inf
+        want = np.sort(s)[::-1][:20]
+        g = g.sort_values("rank")
+        assert list(g["rank"]) == list(range(1, 21)) and len(set(g["vec_id"])) == 20 and q not in set(g["vec_id"])
+        assert np.allclose(g["score"], s[g["vec_id"]], rtol=1e-12)
+        hit += (g["score"].to_numpy() >= want[-1] * (1 - 1e-12)).sum()
+    assert hit / (300 * 20) >= 0.95
+    # Without middles to gather round, all shards are met.
+    loose = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(rng.normal(size=(3000, 48)))], schema)
+    assert hnsw.plan_route(loose, loose.where("vec_id % 20 = 0"), 20, shard_size=200) is None
+
+
 def test_graph_of_huge_components():
     rng = np.random.default_rng(4)
     v = rng.normal(size=(700, 12)) * np.exp(rng.normal(size=(700, 1)))
