@@ -104,14 +104,16 @@ def _verifier(k: int, percent: int):
 
 
 def _prefix_pairs(rows: DataFrame, k: int, percent: int) -> DataFrame:
-    """(a, b): pairs of rows (node, component, members, text) in different components that can reach the similarity.
+    """(a, b): pairs of rows (node, component, text) in different components that can reach the similarity.
 
     Exact prefix filter: with shingles in one order, rarest first, two sets that are similar enough share one of their
     first shingles, so early in both that what follows can still suffice. A pair meets as the smaller and the larger
     set: the smaller one's place must suffice for a partner of its own size; the larger one names, for each of its
     first shingles, the bands of sizes for which that place suffices. So sets around one common text meet only where a
-    pair could be similar enough. In each meeting the component with the most members isn't joined with itself. The
-    order comes from a sketch of the frequencies in these rows, of a fixed size; it decides the work, not the result.
+    pair could be similar enough. A band is named only where a smaller set with that shingle may be in it, as a mask of
+    64 bits of the bands modulo 64 shows. In each meeting the largest component number isn't joined with itself: the
+    numbers should follow the sizes. The order comes from a sketch of the frequencies in these rows, of a fixed size;
+    it decides the work, as masks and numbers do, not the result.
     """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -130,8 +132,8 @@ def _prefix_pairs(rows: DataFrame, k: int, percent: int) -> DataFrame:
     def prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         frequency = shared.value
         for batch in batches:
-            out: list[list[np.ndarray]] = [[] for _ in range(11)]
-            for node, component, members, text in zip(*[batch.column(c).to_pylist() for c in ("node", "component", "members", "text")], strict=True):
+            out: list[list[np.ndarray]] = [[] for _ in range(10)]
+            for node, component, text in zip(*[batch.column(c).to_pylist() for c in ("node", "component", "text")], strict=True):
                 u = shingle_set(text, k)
                 n = len(u)
                 u = u[np.lexsort((u, frequency[(u % np.uint64(SKETCH)).astype(np.int64)]))][: n - -(-percent * n // 100) + 1]
@@ -139,24 +141,25 @@ def _prefix_pairs(rows: DataFrame, k: int, percent: int) -> DataFrame:
                 before = np.concatenate([token[:1], token[:-1]])
                 small = (100 + percent) * (n - at) >= 2 * percent * n
                 most = np.minimum(n, (100 + percent) * (n - at) // percent - n)
-                values = (token, before, np.full(len(u), node), np.full(len(u), component), np.full(len(u), members), np.full(len(u), n), at, small, np.full(len(u), _band(n)), _band(most), np.full(len(u), _band(-(-percent * n // 100))))
+                values = (token, before, np.full(len(u), node), np.full(len(u), component), np.full(len(u), n), at, small, np.full(len(u), _band(n)), _band(most), np.full(len(u), _band(-(-percent * n // 100))))
                 for column, v in zip(out, values, strict=True):
                     column.append(v)
-            flat = [np.concatenate(c) if c else np.zeros(0, bool if i == 7 else np.int64) for i, c in enumerate(out)]
-            columns = [pa.array(flat[0]), pa.array(flat[1], mask=flat[6] == 0), *(pa.array(c) for c in flat[2:])]
-            yield pa.RecordBatch.from_arrays(columns, names=["token", "before", "node", "component", "members", "n", "at", "small", "band", "upto", "least"])
+            flat = [np.concatenate(c) if c else np.zeros(0, bool if i == 6 else np.int64) for i, c in enumerate(out)]
+            columns = [pa.array(flat[0]), pa.array(flat[1], mask=flat[5] == 0), *(pa.array(c) for c in flat[2:])]
+            yield pa.RecordBatch.from_arrays(columns, names=["token", "before", "node", "component", "n", "at", "small", "band", "upto", "least"])
 
-    schema = "token long, before long, node long, component long, members long, n long, at long, small boolean, band long, upto long, least long"
-    tokens = materialize(in_arrow(rows.select("node", "component", "members", "text"), prefixes, schema), "mh-prefix")
+    schema = "token long, before long, node long, component long, n long, at long, small boolean, band long, upto long, least long"
+    tokens = materialize(in_arrow(rows.select("node", "component", "text"), prefixes, schema), "mh-prefix")
     apart = F.min("component") != F.max("component")
-    met = tokens.groupBy("token").agg(apart.alias("apart")).where("apart").select("token")
+    taken = F.expr("bit_or(if(small, shiftleft(1L, cast(band % 64 as int)), 0L))")
+    met = tokens.groupBy("token").agg(apart.alias("apart"), taken.alias("taken")).where("apart and taken <> 0").select("token", "taken")
     shared_ones = tokens.join(met, "token")
     x = shared_ones.where("small")
-    y = shared_ones.where("upto >= least").withColumn("band", F.explode(F.sequence("least", "upto"))).withColumn("small", F.lit(False))
-    banded = materialize(x.unionByName(y).drop("upto", "least"), "mh-bands")
+    y = shared_ones.where("upto >= least").withColumn("band", F.explode(F.expr("filter(sequence(least, upto), b -> getbit(taken, cast(b % 64 as int)) = 1)"))).withColumn("small", F.lit(False))
+    banded = materialize(x.unionByName(y).drop("upto", "least", "taken"), "mh-bands")
     discard(tokens)
     sides = F.bool_or("small") & F.bool_or(~F.col("small"))
-    groups = banded.groupBy("token", "band").agg((apart & sides).alias("apart"), F.max(F.struct("members", "component"))["component"].alias("main")).where("apart").select("token", "band", "main")
+    groups = banded.groupBy("token", "band").agg((apart & sides).alias("apart"), F.max("component").alias("main")).where("apart").select("token", "band", "main")
     # Few groups hold anything to compare; the joins below read those only.
     met_in = materialize(banded.join(groups, ["token", "band"]).withColumn("foreign", F.col("component") != F.col("main")), "mh-meet")
     discard(banded)
@@ -260,8 +263,12 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
         at = state["open"]
         if not at.isEmpty():
             left = at.select("node", "component").distinct()
-            left = left.join(left.groupBy("component").agg(F.count("*").alias("members")), "component")
-            compared(_prefix_pairs(left.join(texts, "node"), k, percent), last=True)
+            # Components numbered in the order of their sizes: one number names a component and ranks it.
+            ranked = left.groupBy("component").agg(F.count("*").alias("members")).orderBy("members", "component")
+            ranks = materialize(ranked.select("component", F.monotonically_increasing_id().alias("rank")), "mh-ranks")
+            numbered = left.join(ranks, "component").select("node", F.col("rank").alias("component"))
+            compared(_prefix_pairs(numbered.join(texts, "node"), k, percent), last=True)
+            discard(ranks)
     labels = state["labels"]
     lows = classes.select(*sets, "node", "low").join(labels, "node", "left").select(*sets, "low", F.coalesce("component", "node").alias("group_node"))
     component = lows.groupBy("group_node").agg(F.min("low").alias("component_id"))

@@ -401,6 +401,32 @@ def test_near_duplicates_of_edited_copies(spark):
         assert got == _brute_components(rows, k, percent)
 
 
+def test_prefix_pairs_name_only_bands_that_hold_something(spark, monkeypatch):
+    """Sets of many sizes around common passages: rows written for the join follow the sets' first shingles, and no pair is lost."""
+    rng = np.random.default_rng(3)
+    base = [f"t{x}" for x in range(400)]
+    rows = []
+    for i in range(60):
+        n = int(rng.integers(150, 400))
+        w = base[:n]
+        for at in rng.choice(n, int(rng.integers(0, 5)), replace=False):
+            w[int(at)] = f"own{i}"
+        rows.append((i, i // 2, 2, " ".join(w)))
+    written, keep = {}, minhash.materialize
+
+    def noted(df, name):
+        out = keep(df, name)
+        written[name] = out.count()
+        return out
+
+    monkeypatch.setattr(minhash, "materialize", noted)
+    got = {(r.a, r.b) for r in minhash._prefix_pairs(spark.createDataFrame(rows, "node long, component long, members long, text string"), 5, 80).collect()}
+    sets = [set(minhash.shingle_set(r[3], 5).tolist()) for r in rows]
+    linked = {(a, b) for a in range(60) for b in range(a + 1, 60) if a // 2 != b // 2 and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])}
+    assert linked and linked <= got
+    assert 0 < written["mh-bands"] <= 4 * written["mh-prefix"], written
+
+
 def test_shards_of_far_ids_and_plain_cuts(spark):
     ends = spark.createDataFrame([(-(2**63) + 1, "a"), (2**63 - 1, "bb"), (0, "c"), (None, "d")], "doc_id long, text string")
     assert sorted(shard.kd_shards(ends, shards=2).groupBy("shard").count().toPandas()["count"]) in ([1, 3], [2, 2])
